@@ -30,7 +30,7 @@ def read_documents(
 
 
 def read_metadata(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-2..4, SRC-6. Scan a metadata document under its declared schema."""
+    """SRC-2..4. Scan a metadata document under its declared schema."""
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
@@ -83,10 +83,12 @@ def raw_event_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def register_views(documents: DataFrame) -> None:
-    """SRC-7, SRC-8. Temp views ``trains`` and ``events`` for ad-hoc SQL (SRC-9)."""
-    with_ingest_date(documents).createOrReplaceTempView("trains")
-    raw_event_rows(documents).createOrReplaceTempView("events")
+def register_views(
+    documents: DataFrame, trains: str = "trains", events: str = "events"
+) -> None:
+    """SRC-7, SRC-8. Temp views over documents and their rows, for ad-hoc SQL (SRC-9)."""
+    with_ingest_date(documents).createOrReplaceTempView(trains)
+    raw_event_rows(documents).createOrReplaceTempView(events)
 
 
 def first_trains(documents: DataFrame, n: int = 3) -> DataFrame:
@@ -133,3 +135,24 @@ def json_arrays(documents: DataFrame, bounded_by: list[str]) -> DataFrame:
         F.sort_array(F.collect_list(F.struct(*fields))).alias("docs")
     )
     return packed.select("date", *bounded_by, F.to_json("docs").alias("body"))
+
+
+def land_metadata(records: DataFrame, root: str, slice_of: Column) -> None:
+    """Write metadata records as JSON arrays, one file per value of ``slice_of``.
+
+    ``slice_of`` must bound the number of records per file.
+    """
+    fields = records.columns
+    packed = (
+        records.withColumn("slice", slice_of)
+        .groupBy("slice")
+        .agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("records"))
+    )
+    packed.select(F.to_json("records").alias("value")).write.mode("overwrite").option(
+        "maxRecordsPerFile", 1
+    ).text(root)
+
+
+def infer_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-6. Scan a metadata document under an inferred schema."""
+    return spark.read.option("multiLine", True).json(path)

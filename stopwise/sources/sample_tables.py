@@ -171,3 +171,60 @@ def detailed_cause_codes_from_parts(part: DataFrame) -> DataFrame:
         F.col("p_name").alias("detailedCategoryName"),
         F.date_add(F.lit("2020-01-01").cast("date"), F.col("p_size")).alias("validFrom"),
     )
+
+
+def as_landed(documents: DataFrame) -> DataFrame:
+    """Documents with dates and times spelled as in the feed (UTC, trailing Z)."""
+
+    def utc_text(time: Column) -> Column:
+        return F.concat(F.translate(time.cast("string"), " ", "T"), F.lit("Z"))
+
+    rows = F.transform(
+        "timeTableRows",
+        lambda r: r.withField("scheduledTime", utc_text(r["scheduledTime"])).withField(
+            "actualTime", utc_text(r["actualTime"])
+        ),
+    )
+    return documents.withColumn("timeTableRows", rows).withColumn(
+        "departureDate", F.col("departureDate").cast("string")
+    )
+
+
+def with_faults(arrays: DataFrame) -> DataFrame:
+    """Spoil the bodies of some dates: cut short, emptied, or not an array.
+
+    A bare object is the first document of the array.
+    """
+    day = F.dayofmonth("date")
+    body = (
+        F.when(day % 10 == 3, F.expr("left(body, length(body) - 20)"))
+        .when(day % 10 == 5, F.lit("[]"))
+        .when(day % 10 == 7, F.get_json_object("body", "$[0]"))
+        .otherwise(F.col("body"))
+    )
+    return arrays.withColumn("body", body)
+
+
+def fetches_from_events(events: DataFrame) -> DataFrame:
+    """A fetch log: each kind of event is one fetch of its service date."""
+    return (
+        events.select(
+            F.to_date(F.col("ts") - F.expr("INTERVAL 3 HOURS")).alias("date"),
+            "event_type",
+            "ts",
+            F.length("props").cast("bigint").alias("bytes"),
+        )
+        .groupBy("date", "event_type")
+        .agg(
+            F.max("ts").alias("fetched_at"),
+            F.sum("bytes").alias("response_bytes"),
+            F.count("*").alias("num_trains"),
+        )
+        .select(
+            "date",
+            "fetched_at",
+            "response_bytes",
+            (F.col("num_trains") * 3).alias("gz_bytes"),
+            "num_trains",
+        )
+    )
