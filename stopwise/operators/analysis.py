@@ -146,7 +146,10 @@ def station_ranking(star: Star, settings: Settings = Settings()) -> DataFrame:
 def ranking_extremes(
     star: Star, settings: Settings = Settings(), count: int = 15
 ) -> DataFrame:
-    """ANA-5. The worst and the best stations of the ranking."""
+    """ANA-5. Both ends of the ranking, read from either side.
+
+    A station without any known delay ranks last, so it heads the best side.
+    """
     ranked = station_ranking(star, settings)
     worst = ranked.orderBy(F.col("on_time_rate").asc_nulls_last(), "code").limit(count)
     best = ranked.orderBy(

@@ -191,10 +191,10 @@ ORACLES = {
     "ana_5_ranking_extremes": over(
         """
         SELECT *, 'worst' AS side
-        FROM (SELECT * FROM ranking ORDER BY on_time_rate, code LIMIT 15)
+        FROM (SELECT * FROM ranking ORDER BY on_time_rate NULLS LAST, code LIMIT 15)
         UNION ALL
         SELECT *, 'best'
-        FROM (SELECT * FROM ranking ORDER BY on_time_rate DESC, code DESC LIMIT 15)
+        FROM (SELECT * FROM ranking ORDER BY on_time_rate DESC NULLS FIRST, code DESC LIMIT 15)
         """,
         _RANKING,
     ),

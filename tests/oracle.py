@@ -78,8 +78,11 @@ def main(sf_dir: str, wanted: list[str]) -> int:
             if sorted(df.columns) != names:
                 raise AssertionError(f"columns {sorted(df.columns)} != {names}")
             if got != expected:
-                odd = [p for p in zip(got, expected) if p[0] != p[1]][:2]
-                raise AssertionError(f"{len(got)} rows, expected {len(expected)}: {odd}")
+                extra = sorted(set(got) - set(expected))[:3]
+                lacking = sorted(set(expected) - set(got))[:3]
+                raise AssertionError(
+                    f"{len(got)} rows, expected {len(expected)}: {extra} for {lacking}"
+                )
             print(f"ok    {name} {len(got)} {took:.2f}s", flush=True)
         except Exception as e:  # noqa: BLE001 - report and go on
             bad += 1
