@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stopwise.functions import local_hour, number_rows, on_time_flag, shifted_hour
 from stopwise.operators.facts import with_causes_only
 from stopwise.settings import Settings
+from stopwise.storage import ensure_checkpoint_dir
 
 # English names of the cause categories.
 CAUSE_LABELS = {
@@ -301,43 +302,54 @@ def by_category(
     )
 
 
-def _one_train(star: Star, train_number: int) -> DataFrame:
-    return arrivals(star, names=True).filter(F.col("train_number") == train_number)
+def _of_train(star: Star, train_number: int | None) -> DataFrame:
+    base = arrivals(star, names=True)
+    return base if train_number is None else base.filter(F.col("train_number") == train_number)
 
 
-def delay_progression(star: Star, train_number: int) -> DataFrame:
-    """ANA-17. Mean delay per stop position of one train over all dates.
+def delay_progression(star: Star, train_number: int | None = None) -> DataFrame:
+    """ANA-17. Mean delay per stop position of each train, or of one, over all dates.
 
     Positions are counted per date, so a stop missing on one date shifts the
     later ones; ``station_progression`` keys by station instead.
     """
-    stops = _one_train(star, train_number).select(
-        "date_key",
-        "scheduled_time",
-        F.col("station_short_code").alias("scode"),
-        F.coalesce("station_name", "station_short_code").alias("sname"),
-        "event_key",
-        "delay_minutes",
+    ensure_checkpoint_dir(star.events.sparkSession)
+    # Numbering measures its input first; keep the stops so the fact is read once.
+    stops = (
+        _of_train(star, train_number)
+        .select(
+            "train_number",
+            "date_key",
+            "scheduled_time",
+            F.col("station_short_code").alias("scode"),
+            F.coalesce("station_name", "station_short_code").alias("sname"),
+            "event_key",
+            "delay_minutes",
+        )
+        .checkpoint()
     )
     placed = number_rows(
-        stops, "seq", ["scheduled_time", "scode", "event_key"], within=["date_key"]
+        stops,
+        "seq",
+        ["scheduled_time", "scode", "event_key"],
+        within=["train_number", "date_key"],
     )
     return (
-        placed.groupBy("seq")
+        placed.groupBy("train_number", "seq")
         .agg(
             F.min("scode").alias("scode"),
             F.min("sname").alias("sname"),
             F.avg("delay_minutes").alias("avg_delay"),
             F.count("*").alias("n"),
         )
-        .orderBy("seq")
+        .orderBy("train_number", "seq")
     )
 
 
 def progression_extremes(progression: DataFrame, stop: str, first: int = 5) -> DataFrame:
-    """ANA-18. Peak of the first stops, size at one stop, overall peak, last stop."""
+    """ANA-18. Per train: peak of the first stops, size at one stop, peak, last stop."""
     seq, mean = F.col("seq"), F.col("avg_delay")
-    return progression.agg(
+    return progression.groupBy("train_number").agg(
         F.max(F.when(seq <= first, mean)).alias("early_peak"),
         F.min_by(F.abs(mean), F.when(F.col("scode") == stop, seq)).alias("size_at_stop"),
         F.max(mean).alias("peak"),
@@ -345,20 +357,20 @@ def progression_extremes(progression: DataFrame, stop: str, first: int = 5) -> D
     )
 
 
-def station_progression(star: Star, train_number: int) -> DataFrame:
-    """ANA-18. Mean delay per station of one train, in order of earliest scheduled offset."""
+def station_progression(star: Star, train_number: int | None = None) -> DataFrame:
+    """ANA-18. Mean delay per train and station, in order of earliest scheduled offset."""
     offset = F.timestamp_diff(
         "SECOND", F.col("date").cast("timestamp_ntz"), F.col("scheduled_time")
     )
     return (
-        _one_train(star, train_number)
-        .groupBy(F.col("station_short_code").alias("scode"))
+        _of_train(star, train_number)
+        .groupBy("train_number", F.col("station_short_code").alias("scode"))
         .agg(
             F.min(offset).alias("first_offset_seconds"),
             F.avg("delay_minutes").alias("avg_delay"),
             F.count("*").alias("n"),
         )
-        .orderBy("first_offset_seconds", "scode")
+        .orderBy("train_number", "first_offset_seconds", "scode")
     )
 
 

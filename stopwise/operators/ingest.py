@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopwise import schemas
+from stopwise.operators.quality import row_counts
 from stopwise.sources.documents import path_date
 from stopwise.storage import save
 
@@ -128,7 +129,11 @@ def current_state(log: DataFrame) -> DataFrame:
 
 
 def accepted_documents(documents: DataFrame, state: DataFrame) -> DataFrame:
-    """Documents of accepted dates only: a bad body stays out of staging."""
+    """Documents of accepted dates only: a bad body stays out of staging.
+
+    ``state`` is a stored table of a row per date; it is broadcast, and its dates
+    prune the folders of the scan.
+    """
     return documents.join(state.select("date"), "date", "left_semi")
 
 
@@ -208,11 +213,16 @@ def run_log_row(
     status: str,
     at: dt.datetime,
 ) -> DataFrame:
-    """ING-9. One line about a run: a join of three one-row results."""
+    """ING-9. One line about a run, to be appended to the run log."""
+    counted = row_counts({"event_rows": events, "cause_rows": causes})
     return (
         watermark(state)
-        .crossJoin(events.agg(F.count("*").alias("event_rows")))
-        .crossJoin(causes.agg(F.count("*").alias("cause_rows")))
+        .unionByName(counted, allowMissingColumns=True)
+        .agg(
+            F.max("watermark").alias("watermark"),
+            F.max("event_rows").alias("event_rows"),
+            F.max("cause_rows").alias("cause_rows"),
+        )
         .select(
             F.lit(at).cast("timestamp_ntz").alias("run_at"),
             F.lit(dates).cast("bigint").alias("dates"),

@@ -143,14 +143,17 @@ def missing_actual_count(events: DataFrame) -> DataFrame:
     )
 
 
-def missing_actual_breakdown(events: DataFrame, last_day: dt.date | Column) -> DataFrame:
+def last_day(documents: DataFrame) -> dt.date:
+    """The last landed date; one value, read from the folder names."""
+    return documents.agg(F.max("date")).first()[0]
+
+
+def missing_actual_breakdown(events: DataFrame, last_day: dt.date) -> DataFrame:
     """PRF-9. Events without actual time by cancellation and by being after ``last_day``.
 
-    ``last_day`` is a date or a column holding it; times after its midnight count.
+    Times after midnight at the start of ``last_day`` count as after.
     """
-    midnight = (last_day if isinstance(last_day, Column) else F.lit(last_day)).cast(
-        "timestamp_ntz"
-    )
+    midnight = F.lit(last_day).cast("timestamp_ntz")
     return (
         events.filter(F.col("actual_time").isNull())
         .groupBy(
@@ -279,14 +282,13 @@ def midnight_trains(events: DataFrame) -> DataFrame:
     )
 
 
-def unexplained_missing_actual(staged: DataFrame, last_day: dt.date | Column) -> DataFrame:
+def unexplained_missing_actual(staged: DataFrame, last_day: dt.date) -> DataFrame:
     """PRF-18. Uncancelled events of completed days without actual time, by stopping."""
-    limit = last_day if isinstance(last_day, Column) else F.lit(last_day)
     return (
         staged.filter(
             ~F.col("is_cancelled")
             & ~F.col("has_actual_time")
-            & (F.col("departure_date") < limit)
+            & (F.col("departure_date") < F.lit(last_day))
         )
         .groupBy("is_stopping")
         .agg(F.count("*").alias("n"))

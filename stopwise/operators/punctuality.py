@@ -9,6 +9,10 @@ from stopwise.functions import round_half_away
 from stopwise.settings import Settings
 
 
+def commercial_arrivals(events: DataFrame) -> DataFrame:
+    return events.filter((F.col("event_type") == "ARRIVAL") & F.col("is_commercial_stop"))
+
+
 def station_punctuality(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """AGG-1. Arrivals at commercial stops by station and date.
 
@@ -20,7 +24,7 @@ def station_punctuality(events: DataFrame, settings: Settings = Settings()) -> D
         F.col("has_actual_time") & F.col("is_plausible_delay") & ~F.col("is_cancelled")
     )
     counts = (
-        events.filter((F.col("event_type") == "ARRIVAL") & F.col("is_commercial_stop"))
+        commercial_arrivals(events)
         .groupBy(
             "station_key",
             "date_key",

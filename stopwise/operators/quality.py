@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,17 @@ def relationships(rel: DataFrame, column: str, to: DataFrame, field: str) -> Dat
     )
 
 
+def orphan_values(rel: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
+    """DQ-4. Distinct values that do not occur in ``to.field``, with their row count.
+
+    Counting comes before the join, so a value shared by most rows joins once.
+    """
+    counts = (
+        rel.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    )
+    return relationships(counts, column, to, field)
+
+
 def implausibly_early(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """DQ-5. Realised commercial stops far ahead of schedule."""
     return (
@@ -78,11 +90,21 @@ def implausible_delay(events: DataFrame, settings: Settings = Settings()) -> Dat
     )
 
 
+def row_counts(relations: dict[str, DataFrame]) -> DataFrame:
+    """One row with the number of rows of each relation, a column per relation."""
+    single = [
+        rel.agg(F.count("*").alias("n")).select(F.lit(name).alias("relation"), "n")
+        for name, rel in relations.items()
+    ]
+    return reduce(DataFrame.unionByName, single).agg(
+        *[F.max(F.when(F.col("relation") == name, F.col("n"))).alias(name) for name in relations]
+    )
+
+
 def count_comparison(staged: DataFrame, fact: DataFrame) -> DataFrame:
-    """Row counts of staging and fact side by side: a join of two one-row results."""
-    s = staged.agg(F.count("*").alias("staging_rows"))
-    f = fact.agg(F.count("*").alias("fact_rows"))
-    return s.crossJoin(f).withColumn("difference", F.col("fact_rows") - F.col("staging_rows"))
+    """Row counts of staging and fact side by side, and their difference."""
+    counts = row_counts({"staging_rows": staged, "fact_rows": fact})
+    return counts.withColumn("difference", F.col("fact_rows") - F.col("staging_rows"))
 
 
 def count_mismatch(staged: DataFrame, fact: DataFrame) -> DataFrame:

@@ -27,13 +27,35 @@ class Warehouse:
 
     A table is written on first use and read back from ``root``, so whatever is
     derived from it starts at a scan with real statistics and a short lineage.
+    ``opened`` reads tables that an earlier session has built.
     """
 
+    TABLES = (
+        "dim_station",
+        "dim_date",
+        "dim_train_type",
+        "dim_cause",
+        "fct_timetable_events",
+        "fct_delay_causes",
+        "agg_station_punctuality",
+    )
+
     def __init__(self, sources: Sources, root: str, settings: Settings = Settings()):
         self.sources = sources
         self.root = root
         self.settings = settings
 
+    @classmethod
+    def opened(cls, sources: Sources, root: str, settings: Settings = Settings()) -> "Warehouse":
+        warehouse = cls(sources, root, settings)
+        warehouse.reopen()
+        return warehouse
+
+    def reopen(self) -> None:
+        """Read every table as it is stored now, without building it."""
+        for name in self.TABLES:
+            self.__dict__[name] = self.spark.read.parquet(self.path(name))
+
     @property
     def spark(self) -> SparkSession:
         return self.sources.documents.sparkSession
@@ -101,4 +123,5 @@ class Warehouse:
     @cached_property
     def agg_station_punctuality(self) -> DataFrame:
         agg = punctuality.station_punctuality(self.fct_timetable_events, self.settings)
-        return self._table("agg_station_punctuality", agg)
+        # A date holds a row per station: one small file each.
+        return self._table("agg_station_punctuality", agg.repartition("date_key"), "date_key")

@@ -30,7 +30,9 @@ def _outcomes(s: Sample) -> DataFrame:
 
 
 def _state(s: Sample) -> DataFrame:
-    return ingest.accepted_state(_outcomes(s), F.lit(AS_OF).cast("timestamp_ntz"))
+    """The accepted dates, recorded and read back."""
+    accepted = ingest.accepted_state(_outcomes(s), F.lit(AS_OF).cast("timestamp_ntz"))
+    return ingest.current_state(ingest.record_state(accepted, s.scratch("state")))
 
 
 def _validation(s: Sample) -> DataFrame:
@@ -84,19 +86,22 @@ def _refetch(s: Sample) -> DataFrame:
         s.warehouse.sources.detailed_cause_codes,
     )
     warehouse = Warehouse(sources, f"{root}/warehouse", s.settings)
-    warehouse.fct_delay_causes  # noqa: B018 - written on first use
+    warehouse.fct_delay_causes, warehouse.agg_station_punctuality  # noqa: B018 - built here
     landed = replace_documents(_settled(s.documents), f"{root}/documents")
     if not refresh_days(warehouse, landed, list(REFETCHED)):
         raise RuntimeError("the re-fetched days hold a new train type")
-    stored = s.spark.read.parquet(warehouse.path("fct_timetable_events"))
-    causes = s.spark.read.parquet(warehouse.path("fct_delay_causes"))
-    events = stored.groupBy("source_ingest_date").agg(
+    events = warehouse.fct_timetable_events.groupBy("source_ingest_date").agg(
         F.count("*").alias("events"), F.sum("delay_minutes").alias("minutes")
     )
-    return events.join(
-        causes.groupBy("source_ingest_date").agg(F.count("*").alias("causes")),
-        "source_ingest_date",
-        "left",
+    causes = warehouse.fct_delay_causes.groupBy("source_ingest_date").agg(
+        F.count("*").alias("causes")
+    )
+    days = F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("source_ingest_date")
+    arrivals = warehouse.agg_station_punctuality.groupBy(days).agg(
+        F.sum("measured_arrivals").alias("measured"), F.max("worst_delay_minutes").alias("worst")
+    )
+    return events.join(causes, "source_ingest_date", "left").join(
+        arrivals, "source_ingest_date", "left"
     )
 
 
@@ -228,12 +233,18 @@ ORACLES = {
     ),
     "ing_6_refetched_days": over(
         f"""
-        SELECT source_ingest_date, count(*) AS events,
-               CAST(sum(delay_minutes
-                 + CASE WHEN source_ingest_date IN ('{REFETCHED[0]}', '{REFETCHED[1]}')
-                        THEN {SETTLED_MINUTES} ELSE 0 END) AS BIGINT) AS minutes,
-               CAST(nullif(sum(cause_count), 0) AS BIGINT) AS causes
-        FROM stg GROUP BY 1
+        SELECT source_ingest_date, count(*) AS events, CAST(sum(delay) AS BIGINT) AS minutes,
+               CAST(nullif(sum(cause_count), 0) AS BIGINT) AS causes,
+               CAST(sum(CAST(ok AND (delay IS NULL OR delay BETWEEN -60 AND 1440) AS INTEGER))
+                    FILTER (WHERE arrived) AS BIGINT) AS measured,
+               max(delay) FILTER (WHERE ok AND arrived AND delay BETWEEN -60 AND 1440) AS worst
+        FROM (SELECT *, event_type = 'ARRIVAL' AND is_commercial_stop AS arrived,
+                     has_actual_time AND NOT is_cancelled AS ok,
+                     delay_minutes
+                       + CASE WHEN source_ingest_date IN ('{REFETCHED[0]}', '{REFETCHED[1]}')
+                              THEN {SETTLED_MINUTES} ELSE 0 END AS delay
+              FROM stg)
+        GROUP BY 1
         """
     ),
     "ing_8_outcome_summary": over(

@@ -16,20 +16,13 @@ def _distribution(s: Sample) -> DataFrame:
     return stats.withColumns({c: round_half_away(F.col(c), 6) for c in prf.QUANTILES})
 
 
-def _with_last_day(s: Sample) -> tuple[DataFrame, DataFrame]:
-    """Raw and staged events, each with the last landed date as a column."""
-    last = s.documents.agg(F.max("date").alias("last_day"))
-    return s.raw_events.crossJoin(last), s.warehouse.stg_timetable_events.crossJoin(last)
-
-
 def _missing_breakdown(s: Sample) -> DataFrame:
-    raw, _ = _with_last_day(s)
-    return prf.missing_actual_breakdown(raw, F.col("last_day"))
+    return prf.missing_actual_breakdown(s.raw_events, prf.last_day(s.documents))
 
 
 def _unexplained(s: Sample) -> DataFrame:
-    _, staged = _with_last_day(s)
-    return prf.unexplained_missing_actual(staged, F.col("last_day"))
+    staged = s.warehouse.stg_timetable_events
+    return prf.unexplained_missing_actual(staged, prf.last_day(s.documents))
 
 
 def _relation_counts(s: Sample) -> DataFrame:

@@ -11,9 +11,9 @@ from stopwise.operators.analysis import CARGO, PASSENGER
 from stopwise.registry.sample import Sample
 from stopwise.registry.sql import over
 
-# The train whose progression is followed, and the stop looked at on the way.
-TRAIN = 17
+# The stop looked at on the way, and the train that is followed on its own.
 STOP = "S53"
+TRAIN = 17
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -38,7 +38,7 @@ def _base_without_cancelled(s: Sample) -> DataFrame:
 
 
 def _progression_extremes(s: Sample) -> DataFrame:
-    return ana.progression_extremes(ana.delay_progression(s.star, TRAIN), STOP)
+    return ana.progression_extremes(ana.delay_progression(s.star), STOP)
 
 
 def _categories_all(s: Sample) -> DataFrame:
@@ -61,9 +61,10 @@ QUERIES = {
     "ana_14_coded_events": lambda s: ana.coded_events(s.star),
     "ana_15_causes_equal_split": lambda s: ana.causes_equal_split(s.star),
     "ana_16_by_category": lambda s: _rounded(ana.by_category(s.star, s.settings), "p90"),
-    "ana_17_delay_progression": lambda s: ana.delay_progression(s.star, TRAIN),
+    "ana_17_delay_progression": lambda s: ana.delay_progression(s.star),
+    "ana_17_progression_of_one_train": lambda s: ana.delay_progression(s.star, TRAIN),
     "ana_18_progression_extremes": _progression_extremes,
-    "ana_18_station_progression": lambda s: ana.station_progression(s.star, TRAIN),
+    "ana_18_station_progression": lambda s: ana.station_progression(s.star),
     "ana_19_daily_trend": lambda s: ana.daily_trend(s.star, s.settings),
     "ana_20_weekday_weekend": lambda s: ana.weekday_weekend(s.star, s.settings),
     "ana_21_day_extremes": lambda s: ana.day_extremes(s.star, s.settings),
@@ -114,18 +115,18 @@ _LABELS = "labels(code, label) AS (VALUES " + ", ".join(
     f"('{code}', '{label}')" for code, label in ana.CAUSE_LABELS.items()
 ) + ")"
 
-_STOPS = f"""
+_STOPS = """
 stops AS (
-  SELECT station_short_code AS scode, coalesce(station_name, station_short_code) AS sname,
+  SELECT train_number, station_short_code AS scode, coalesce(station_name, station_short_code) AS sname,
          delay_minutes,
-         row_number() OVER (PARTITION BY date_key
+         row_number() OVER (PARTITION BY train_number, date_key
                             ORDER BY scheduled_time, station_short_code, event_key) AS seq
-  FROM base WHERE train_number = {TRAIN}
+  FROM base
 ),
 progression AS (
-  SELECT seq, min(scode) AS scode, min(sname) AS sname, avg(delay_minutes) AS avg_delay,
-         count(*) AS n
-  FROM stops GROUP BY 1
+  SELECT train_number, seq, min(scode) AS scode, min(sname) AS sname,
+         avg(delay_minutes) AS avg_delay, count(*) AS n
+  FROM stops GROUP BY 1, 2
 )
 """
 
@@ -251,22 +252,27 @@ ORACLES = {
     ),
     "ana_16_by_category": _category_sql(1000),
     "ana_17_delay_progression": over("SELECT * FROM progression", _STOPS),
+    "ana_17_progression_of_one_train": over(
+        f"SELECT * FROM progression WHERE train_number = {TRAIN}", _STOPS
+    ),
     "ana_18_progression_extremes": over(
         f"""
-        SELECT max(avg_delay) FILTER (WHERE seq <= 5) AS early_peak,
+        SELECT train_number, max(avg_delay) FILTER (WHERE seq <= 5) AS early_peak,
                min_by(abs(avg_delay), seq) FILTER (WHERE scode = '{STOP}') AS size_at_stop,
-               max(avg_delay) AS peak, max_by(avg_delay, seq) AS last
-        FROM progression
+               max(avg_delay) AS peak,
+               any_value(avg_delay) FILTER (WHERE seq = last_seq) AS last
+        FROM (SELECT *, max(seq) OVER (PARTITION BY train_number) AS last_seq FROM progression)
+        GROUP BY 1
         """,
         _STOPS,
     ),
     "ana_18_station_progression": over(
-        f"""
-        SELECT station_short_code AS scode,
+        """
+        SELECT train_number, station_short_code AS scode,
                min(date_diff('microsecond', CAST(date AS TIMESTAMP), scheduled_time) // 1000000)
                  AS first_offset_seconds,
                avg(delay_minutes) AS avg_delay, count(*) AS n
-        FROM base WHERE train_number = {TRAIN} GROUP BY 1
+        FROM base GROUP BY 1, 2
         """
     ),
     "ana_19_daily_trend": over("SELECT * FROM days", _DAYS),

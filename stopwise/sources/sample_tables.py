@@ -14,6 +14,9 @@ from stopwise import schemas
 
 EVENTS_PER_DOCUMENT = 4096
 
+# Rows of a landing task: some hundred megabytes of nested rows.
+ROWS_PER_TASK = 1_000_000
+
 
 def _cause(category: Column, detailed: Column, third: Column) -> Column:
     return F.struct(
@@ -28,6 +31,19 @@ def _true_false_null(is_true: Column, is_null: Column) -> Column:
     return F.when(is_true, F.lit(True)).when(~is_null, F.lit(False))
 
 
+def range_partitioned(rows: DataFrame, count: int, *by: str) -> DataFrame:
+    """Range-partition ``rows`` so that no task has to hold much more than its share.
+
+    Up to the session's number of shuffle partitions adaptive execution merges
+    small ranges; beyond that the number follows the row count.
+    """
+    default = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    needed = -(-count // ROWS_PER_TASK)
+    return rows.repartitionByRange(needed, *by) if needed > default else (
+        rows.repartitionByRange(*by)
+    )
+
+
 def documents_from_events(events: DataFrame) -> DataFrame:
     """Binding E: one document per (train, service date, slice of event ids)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
@@ -78,7 +94,7 @@ def documents_from_events(events: DataFrame) -> DataFrame:
     # Ranging on (date, slice) keeps each output file within few dates, splits a
     # busy date over tasks, and already clusters the grouping below: one shuffle.
     packed = (
-        rows.repartitionByRange("date", "slice")
+        range_partitioned(rows, events.count(), "date", "slice")
         .groupBy("date", "slice", "u")
         .agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", row.alias("row")))).alias("rs"))
     )
