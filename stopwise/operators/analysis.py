@@ -207,8 +207,19 @@ def hour_extremes(star: Star, settings: Settings = Settings()) -> DataFrame:
 
 
 def _cause_minutes(star: Star) -> DataFrame:
-    """Cause rows with the delay of their event; a missing or negative delay is 0."""
-    events = with_causes_only(star.events).select("event_key", "delay_minutes", "cause_count")
+    """Cause rows with the delay of their event; a missing or negative delay is 0.
+
+    Event keys are unique once the build has passed. Grouping by the key all the
+    same shares the join's shuffle and keeps repeated keys from multiplying.
+    """
+    events = (
+        with_causes_only(star.events)
+        .groupBy("event_key")
+        .agg(
+            F.max("delay_minutes").alias("delay_minutes"),
+            F.max("cause_count").alias("cause_count"),
+        )
+    )
     return star.causes.join(events, "event_key").withColumn(
         "late_minutes", F.greatest(_delay(), F.lit(0))
     )

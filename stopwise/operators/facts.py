@@ -88,12 +88,21 @@ def with_causes_only(events: DataFrame) -> DataFrame:
     return events.filter(F.col("cause_count") > 0)
 
 
+def known_causes(causes: DataFrame, events: DataFrame) -> DataFrame:
+    """FCT-5. Cause rows whose event exists.
+
+    The same as an inner join while event keys are unique; a semi join cannot
+    multiply rows where they are not.
+    """
+    return causes.join(with_causes_only(events).select("event_key"), "event_key", "left_semi")
+
+
 def delay_causes(causes: DataFrame, events: DataFrame, cause: DataFrame) -> DataFrame:
     """FCT-5..7. Cause rows of known events with their cause key.
 
     ``source_ingest_date``, when staged, is carried along for partitioning.
     """
-    known = causes.join(with_causes_only(events).select("event_key"), "event_key")
+    known = known_causes(causes, events)
     keys = cause.select("cause_category_code", F.col("cause_key").alias("found"))
     extra = [c for c in ("source_ingest_date",) if c in causes.columns]
     return (

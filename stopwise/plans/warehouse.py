@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stopwise.operators import dimensions, facts, punctuality, staging
 from stopwise.settings import Settings
-from stopwise.storage import save
+from stopwise.storage import gathered, save
 
 
 @dataclass(frozen=True)
@@ -118,10 +118,12 @@ class Warehouse:
         fact = facts.delay_causes(
             self.stg_delay_causes, self.fct_timetable_events, self.dim_cause
         )
-        return self._table("fct_delay_causes", fact, "source_ingest_date")
+        # The join on event keys scatters dates over tasks.
+        return self._table(
+            "fct_delay_causes", gathered(fact, "source_ingest_date"), "source_ingest_date"
+        )
 
     @cached_property
     def agg_station_punctuality(self) -> DataFrame:
         agg = punctuality.station_punctuality(self.fct_timetable_events, self.settings)
-        # A date holds a row per station: one small file each.
-        return self._table("agg_station_punctuality", agg.repartition("date_key"), "date_key")
+        return self._table("agg_station_punctuality", gathered(agg, "date_key"), "date_key")

@@ -43,10 +43,8 @@ def _fact_causes(s: Sample) -> DataFrame:
 
 
 def _known_causes(s: Sample) -> DataFrame:
-    events = facts.with_causes_only(s.warehouse.fct_timetable_events).select("event_key")
-    return s.warehouse.stg_delay_causes.join(events, "event_key").select(
-        "event_key", "cause_seq", "cause_category_code"
-    )
+    known = facts.known_causes(s.warehouse.stg_delay_causes, s.warehouse.fct_timetable_events)
+    return known.select("event_key", "cause_seq", "cause_category_code")
 
 
 def _cause_lookup(s: Sample) -> DataFrame:

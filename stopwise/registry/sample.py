@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise import schemas
-from stopwise.operators import profiling, staging
+from stopwise.operators import ingest, profiling, staging
 from stopwise.operators.analysis import Star
 from stopwise.plans.warehouse import Sources, Warehouse
 from stopwise.settings import Settings
@@ -30,6 +31,11 @@ SETTINGS = Settings(
 
 RECORDS_PER_FILE = 4096
 
+# A JSON array is parsed in one task: this many slices keep it to some megabytes.
+SLICES_PER_FILE = 16
+
+FETCHED_AT = dt.datetime(2024, 2, 10, 5, 0)
+
 
 class Sample:
     """Inputs and built tables for one folder of given tables."""
@@ -80,21 +86,40 @@ class Sample:
     def raw_events(self) -> DataFrame:
         return profiling.raw_events(self.raw_trains)
 
+    def _json_arrays(self) -> DataFrame:
+        documents = bind.as_landed(self.sliced_documents)
+        numbered = documents.withColumn("file", F.floor(F.col("slice") / SLICES_PER_FILE))
+        return src.json_arrays(numbered.drop("slice"), ["file"])
+
     @cached_property
     def json_root(self) -> str:
         """The documents as gzipped JSON arrays in one folder per date."""
         root = f"{self.root}/json"
-        src.write_landing(src.json_arrays(bind.as_landed(self.sliced_documents), ["slice"]), root)
+        src.write_landing(self._json_arrays(), root)
         return root
 
     @cached_property
     def faulty_json_root(self) -> str:
         """The same, with the bodies of some dates spoiled."""
         root = f"{self.root}/json-faulty"
-        arrays = src.json_arrays(bind.as_landed(self.sliced_documents), ["slice"])
-        src.write_landing(bind.with_faults(arrays), root)
+        src.write_landing(bind.with_faults(self._json_arrays()), root)
         return root
 
+    @cached_property
+    def outcomes(self) -> DataFrame:
+        """Outcome per date of the spoiled landing, validated once and stored."""
+        found = ingest.validate_landing(self.spark, self.faulty_json_root)
+        return save(found, f"{self.root}/outcomes")
+
+    @cached_property
+    def state(self) -> DataFrame:
+        """The accepted dates, recorded and read back."""
+        fetched = F.lit(FETCHED_AT).cast("timestamp_ntz")
+        log = ingest.record_state(
+            ingest.accepted_state(self.outcomes, fetched), f"{self.root}/state"
+        )
+        return ingest.current_state(log)
+
     @cached_property
     def json_documents(self) -> DataFrame:
         return src.read_documents(self.spark, self.json_root)

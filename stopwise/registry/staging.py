@@ -326,7 +326,7 @@ ORACLES = {
     ),
     "snk_3_landing_files": over(
         """
-        SELECT ingest_date AS date, count(DISTINCT slice) AS files,
+        SELECT ingest_date AS date, count(DISTINCT slice // 16) AS files,
                count(DISTINCT (train_number, slice)) AS documents
         FROM raw GROUP BY 1
         """

@@ -37,6 +37,16 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def gathered(df: DataFrame, column: str) -> DataFrame:
+    """Bring rows of one partition value together before a partitioned write.
+
+    For rows that an earlier shuffle has scattered: without it every task would
+    write a file per value. Adaptive execution splits a large value over several
+    tasks and merges small ones.
+    """
+    return df.hint("rebalance", column)
+
+
 def save(
     df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite"
 ) -> DataFrame:
