@@ -54,7 +54,7 @@ def _opened(spark: SparkSession, root: str) -> DataFrame:
     """
     pieces = spark.read.option("lineSep", "{").text(root)
     return pieces.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.max(F.trim("value") == "[").alias("is_array"),
+        F.max(F.col("value").rlike(r"^\s*\[\s*$")).alias("is_array"),
         (F.sum(F.octet_length("value")) + F.count("*") - 1).alias("response_bytes"),
     )
 
@@ -107,6 +107,11 @@ def validate_landing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def wall_clock(at: dt.datetime) -> Column:
+    """A zone-free time literal; a plain literal would pass through the session zone."""
+    return F.lit(at.isoformat()).cast("timestamp_ntz")
+
+
 def accepted_state(outcomes: DataFrame, fetched_at: Column) -> DataFrame:
     """State rows of the accepted dates; a rejected date does not advance anything."""
     return outcomes.filter(F.col("status") == ACCEPTED).select(
@@ -224,7 +229,7 @@ def run_log_row(
             F.max("cause_rows").alias("cause_rows"),
         )
         .select(
-            F.lit(at).cast("timestamp_ntz").alias("run_at"),
+            wall_clock(at).alias("run_at"),
             F.lit(dates).cast("bigint").alias("dates"),
             "watermark",
             "event_rows",

@@ -114,10 +114,8 @@ class Sample:
     @cached_property
     def state(self) -> DataFrame:
         """The accepted dates, recorded and read back."""
-        fetched = F.lit(FETCHED_AT).cast("timestamp_ntz")
-        log = ingest.record_state(
-            ingest.accepted_state(self.outcomes, fetched), f"{self.root}/state"
-        )
+        accepted = ingest.accepted_state(self.outcomes, ingest.wall_clock(FETCHED_AT))
+        log = ingest.record_state(accepted, f"{self.root}/state")
         return ingest.current_state(log)
 
     @cached_property
