@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from stopwise.functions import local_hour, number_rows, on_time_flag, shifted_hour
 from stopwise.operators.facts import with_causes_only
 from stopwise.settings import Settings
-from stopwise.storage import ensure_checkpoint_dir
 
 # English names of the cause categories.
 CAUSE_LABELS = {
@@ -324,20 +323,14 @@ def delay_progression(star: Star, train_number: int | None = None) -> DataFrame:
     Positions are counted per date, so a stop missing on one date shifts the
     later ones; ``station_progression`` keys by station instead.
     """
-    ensure_checkpoint_dir(star.events.sparkSession)
-    # Numbering measures its input first; keep the stops so the fact is read once.
-    stops = (
-        _of_train(star, train_number)
-        .select(
-            "train_number",
-            "date_key",
-            "scheduled_time",
-            F.col("station_short_code").alias("scode"),
-            F.coalesce("station_name", "station_short_code").alias("sname"),
-            "event_key",
-            "delay_minutes",
-        )
-        .checkpoint()
+    stops = _of_train(star, train_number).select(
+        "train_number",
+        "date_key",
+        "scheduled_time",
+        F.col("station_short_code").alias("scode"),
+        F.coalesce("station_name", "station_short_code").alias("sname"),
+        "event_key",
+        "delay_minutes",
     )
     placed = number_rows(
         stops,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stopwise.settings import Settings
@@ -55,15 +55,25 @@ def orphan_values(rel: DataFrame, column: str, to: DataFrame, field: str) -> Dat
     return relationships(counts, column, to, field)
 
 
+def is_implausibly_early(settings: Settings) -> Column:
+    return (
+        F.col("has_actual_time")
+        & ~F.col("is_cancelled")
+        & F.col("is_commercial_stop")
+        & (F.col("delay_minutes") < -settings.early_tolerance_minutes)
+    )
+
+
+def is_implausible(settings: Settings) -> Column:
+    return ~F.col("delay_minutes").between(
+        settings.min_plausible_minutes, settings.max_plausible_minutes
+    )
+
+
 def implausibly_early(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """DQ-5. Realised commercial stops far ahead of schedule."""
     return (
-        events.filter(
-            F.col("has_actual_time")
-            & ~F.col("is_cancelled")
-            & F.col("is_commercial_stop")
-            & (F.col("delay_minutes") < -settings.early_tolerance_minutes)
-        )
+        events.filter(is_implausibly_early(settings))
         .select(
             "event_key",
             "train_number",
@@ -80,11 +90,7 @@ def implausibly_early(events: DataFrame, settings: Settings = Settings()) -> Dat
 def implausible_delay(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """DQ-6. Events whose delay lies outside the plausible band."""
     return (
-        events.filter(
-            ~F.col("delay_minutes").between(
-                settings.min_plausible_minutes, settings.max_plausible_minutes
-            )
-        )
+        events.filter(is_implausible(settings))
         .select("event_key", "train_number", "station_key", "event_type", "delay_minutes")
         .orderBy("delay_minutes")
     )

@@ -128,6 +128,32 @@ def timetable_events(documents: DataFrame, settings: Settings = Settings()) -> D
     return with_event_key(add_flags(flatten_rows(documents), settings)).select(EVENT_COLUMNS)
 
 
+def narrow_rows(documents: DataFrame, *fields: str) -> DataFrame:
+    """Train identity plus some fields of each timetable row, as a struct ``r``.
+
+    Exploding whole structs makes a columnar scan read every nested field;
+    zipping the wanted ones lets it read only those.
+    """
+    return documents.select(
+        F.col("departureDate").cast("date").alias("departure_date"),
+        F.col("trainNumber").alias("train_number"),
+        ingest_date(documents).alias("source_ingest_date"),
+        F.explode(F.arrays_zip(*[F.col(f"timeTableRows.{f}") for f in fields])).alias("r"),
+    )
+
+
+def event_keys(documents: DataFrame) -> DataFrame:
+    """The key and its parts for every staged event: what the staging checks need."""
+    rows = narrow_rows(documents, "stationShortCode", "type", "scheduledTime").select(
+        "departure_date",
+        "train_number",
+        F.col("r.stationShortCode").alias("station_short_code"),
+        F.col("r.type").alias("event_type"),
+        F.col("r.scheduledTime").cast("timestamp_ntz").alias("scheduled_time"),
+    )
+    return with_event_key(rows)
+
+
 def event_headers(documents: DataFrame) -> DataFrame:
     """Document-level columns of all staged events, one row per document.
 
@@ -146,18 +172,13 @@ def delay_causes(documents: DataFrame) -> DataFrame:
     """STG-8..10. One row per event and cause, numbered in array order.
 
     The position in the array equals a row number per event as long as event
-    keys are unique, and needs no shuffle. Zipping four nested fields, rather
-    than exploding the whole structs, lets a columnar scan read only those.
+    keys are unique, and needs no shuffle.
     """
     with_cause = documents.filter(
         F.exists(F.col("timeTableRows.causes"), lambda causes: F.size(causes) > 0)
     )
-    fields = ("stationShortCode", "type", "scheduledTime", "causes")
-    exploded = with_cause.select(
-        F.col("departureDate").cast("date").alias("departure_date"),
-        F.col("trainNumber").alias("train_number"),
-        ingest_date(documents).alias("source_ingest_date"),
-        F.explode(F.arrays_zip(*[F.col(f"timeTableRows.{f}") for f in fields])).alias("r"),
+    exploded = narrow_rows(
+        with_cause, "stationShortCode", "type", "scheduledTime", "causes"
     ).filter(F.size("r.causes") > 0)
     keyed = exploded.select(
         event_key(

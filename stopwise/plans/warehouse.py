@@ -70,6 +70,11 @@ class Warehouse:
     def stg_timetable_events(self) -> DataFrame:
         return staging.timetable_events(self.sources.documents, self.settings)
 
+    @cached_property
+    def stg_event_keys(self) -> DataFrame:
+        """Keys of the staged events, without the columns that checks never read."""
+        return staging.event_keys(self.sources.documents)
+
     @cached_property
     def stg_delay_causes(self) -> DataFrame:
         return staging.delay_causes(self.sources.documents)
