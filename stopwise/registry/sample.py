@@ -31,9 +31,6 @@ SETTINGS = Settings(
 
 RECORDS_PER_FILE = 4096
 
-# A JSON array is parsed in one task: this many slices keep it to some megabytes.
-SLICES_PER_FILE = 16
-
 FETCHED_AT = dt.datetime(2024, 2, 10, 5, 0)
 
 
@@ -87,9 +84,7 @@ class Sample:
         return profiling.raw_events(self.raw_trains)
 
     def _json_arrays(self) -> DataFrame:
-        documents = bind.as_landed(self.sliced_documents)
-        numbered = documents.withColumn("file", F.floor(F.col("slice") / SLICES_PER_FILE))
-        return src.json_arrays(numbered.drop("slice"), ["file"])
+        return src.json_arrays(bind.as_landed(self.sliced_documents), ["slice"])
 
     @cached_property
     def json_root(self) -> str:

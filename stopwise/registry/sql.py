@@ -10,7 +10,7 @@ _RELATIONS = """
 ev AS (
   SELECT event_id, ts, user_id AS u, event_type AS kind, value,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
-         CAST(ts - INTERVAL 3 HOUR AS DATE) AS d, event_id // 4096 AS slice
+         CAST(ts - INTERVAL 3 HOUR AS DATE) AS d, event_id // 2048 AS slice
   FROM events
 ),
 raw AS (

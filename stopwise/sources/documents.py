@@ -139,13 +139,18 @@ def write_landing(arrays: DataFrame, root: str) -> None:
 def json_arrays(documents: DataFrame, bounded_by: list[str]) -> DataFrame:
     """Pack documents into JSON arrays, one per ``date`` and ``bounded_by`` group.
 
-    The grouping columns must bound the number of documents in an array.
+    The grouping columns must bound the size of an array: it is built in memory
+    here and parsed in one task later. Documents become text before they are
+    grouped, which takes far less memory than nested rows.
     """
     fields = [c for c in documents.columns if c not in ("date", *bounded_by)]
-    packed = documents.groupBy("date", *bounded_by).agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("docs")
+    text = documents.select("date", *bounded_by, F.to_json(F.struct(*fields)).alias("doc"))
+    packed = text.groupBy("date", *bounded_by).agg(
+        F.array_join(F.sort_array(F.collect_list("doc")), ",").alias("docs")
+    )
+    return packed.select(
+        "date", *bounded_by, F.concat(F.lit("["), "docs", F.lit("]")).alias("body")
     )
-    return packed.select("date", *bounded_by, F.to_json("docs").alias("body"))
 
 
 def land_metadata(records: DataFrame, root: str, slice_of: Column) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stopwise import schemas
 
-EVENTS_PER_DOCUMENT = 4096
+EVENTS_PER_DOCUMENT = 2048
 
 # Rows of a landing task: some hundred megabytes of nested rows.
 ROWS_PER_TASK = 1_000_000
