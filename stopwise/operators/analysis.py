@@ -8,7 +8,7 @@ one row per distinct delay after the first step.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from stopwise.functions import local_hour, number_rows, on_time_flag, shifted_hour
 from stopwise.operators.facts import with_causes_only
 from stopwise.settings import Settings
+from stopwise.storage import save
 
 # English names of the cause categories.
 CAUSE_LABELS = {
@@ -42,7 +43,10 @@ CARGO = ("Cargo",)
 
 @dataclass(frozen=True)
 class Star:
-    """The tables the questions read."""
+    """The tables the questions read.
+
+    ``base`` is the stored common population, when several questions share it.
+    """
 
     events: DataFrame
     causes: DataFrame
@@ -50,6 +54,7 @@ class Star:
     train_type: DataFrame
     date: DataFrame
     cause: DataFrame
+    base: DataFrame | None = None
 
     @classmethod
     def of(cls, warehouse) -> "Star":
@@ -62,25 +67,51 @@ class Star:
             cause=warehouse.dim_cause,
         )
 
-
-def arrivals(star: Star, exclude_cancelled: bool = False, names: bool = False) -> DataFrame:
-    """ANA-0. Realised, plausible arrivals at commercial stops.
-
-    Rows without a train type or date drop out. ``names`` adds the station name;
-    questions that group first and name later leave it off.
-    """
+    def with_stored_base(self, path: str) -> "Star":
+        """Write the common population once, narrow, for questions to scan instead."""
+        return replace(self, base=save(realised_arrivals(self).select(BASE_COLUMNS), path))
+
+
+BASE_COLUMNS = [
+    "event_key",
+    "train_number",
+    "station_key",
+    "station_short_code",
+    "date_key",
+    "date",
+    "is_weekend",
+    "train_type_key",
+    "train_type",
+    "train_category",
+    "scheduled_time",
+    "delay_minutes",
+    "is_cancelled",
+]
+
+
+def realised_arrivals(star: Star) -> DataFrame:
+    """Realised, plausible arrivals at commercial stops, of a known train type and date."""
     realised = star.events.filter(
         (F.col("event_type") == "ARRIVAL")
         & F.col("is_commercial_stop")
         & F.col("has_actual_time")
         & F.col("is_plausible_delay")
     )
-    if exclude_cancelled:
-        realised = realised.filter(~F.col("is_cancelled"))
-    base = realised.join(
+    return realised.join(
         star.train_type.select("train_type_key", "train_type", "train_category"),
         "train_type_key",
     ).join(star.date.select("date_key", "date", "is_weekend"), "date_key")
+
+
+def arrivals(star: Star, exclude_cancelled: bool = False, names: bool = False) -> DataFrame:
+    """ANA-0. The population every question starts from.
+
+    ``names`` adds the station name; questions that group first and name later
+    leave it off.
+    """
+    base = realised_arrivals(star) if star.base is None else star.base
+    if exclude_cancelled:
+        base = base.filter(~F.col("is_cancelled"))
     return with_station_name(base, star) if names else base
 
 

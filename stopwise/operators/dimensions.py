@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stopwise.functions import calendar_columns, number_rows
 from stopwise.storage import ensure_checkpoint_dir
@@ -16,10 +17,8 @@ def with_unknown_member(keyed: DataFrame, member: dict[str, object]) -> DataFram
 
     Columns not named in ``member`` are NULL in that row.
     """
-    row = [tuple(member.get(f.name) for f in keyed.schema)]
-    schema = keyed.schema
-    for f in schema:
-        f.nullable = True
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in keyed.schema])
+    row = [tuple(member.get(f.name) for f in schema)]
     return keyed.unionByName(keyed.sparkSession.createDataFrame(row, schema))
 
 

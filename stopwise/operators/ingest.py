@@ -17,17 +17,23 @@ ACCEPTED = "accepted"
 _CORRUPT = "_corrupt_record"
 
 
-def _files(spark: SparkSession, root: str) -> DataFrame:
+def _on_days(scan: DataFrame, days: list[dt.date] | None) -> DataFrame:
+    """Only the folders of some dates; all of them without ``days``."""
+    return scan if days is None else scan.filter(F.col("date").isin(*days))
+
+
+def _files(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
     """Landed files and their sizes; file contents are not read."""
-    return (
+    listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(root)
         .select("path", F.col("length").alias("gz_bytes"), path_date(F.col("path")).alias("date"))
     )
+    return _on_days(listed, days)
 
 
-def _parsed(spark: SparkSession, root: str) -> DataFrame:
+def _parsed(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
     """Documents and unparsable bodies per file."""
     schema = T.StructType(
         [*schemas.TRAINS.fields, T.StructField(_CORRUPT, T.StringType())]
@@ -39,20 +45,20 @@ def _parsed(spark: SparkSession, root: str) -> DataFrame:
         .json(root)
     )
     corrupt = F.col(_CORRUPT).isNotNull()
-    return scanned.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+    return _on_days(scanned, days).groupBy(F.col("_metadata.file_path").alias("file")).agg(
         # Naming a data column keeps the scan from asking for nothing but errors.
         F.count_if(F.col("departureDate").isNotNull() | ~corrupt).alias("documents"),
         F.count_if(corrupt).alias("corrupt"),
     )
 
 
-def _opened(spark: SparkSession, root: str) -> DataFrame:
+def _opened(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
     """Whether the text before a file's first object opens an array, and its length.
 
     The text is read in pieces that end at an opening brace. In a valid body of
     the declared schema only the very first piece can be a lone bracket.
     """
-    pieces = spark.read.option("lineSep", "{").text(root)
+    pieces = _on_days(spark.read.option("lineSep", "{").text(root), days)
     return pieces.groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.max(F.col("value").rlike(r"^\s*\[\s*$")).alias("is_array"),
         (F.sum(F.octet_length("value")) + F.count("*") - 1).alias("response_bytes"),
@@ -64,17 +70,21 @@ def _local_name(path: Column) -> Column:
     return F.regexp_replace(path, r"^[a-z0-9]+:/*", "/")
 
 
-def validate_landing(spark: SparkSession, root: str) -> DataFrame:
-    """ING-2. Outcome per landed date.
+def validate_landing(
+    spark: SparkSession, root: str, days: list[dt.date] | None = None
+) -> DataFrame:
+    """ING-2. Outcome per landed date, or per one of ``days`` that is landed.
 
     A date is accepted when every one of its files parses, is an array and is
     not empty. Files without documents yield no scanned rows, so they are found
     in the file listing.
     """
     key = _local_name(F.col("file")).alias("name")
-    files = _files(spark, root).select(_local_name(F.col("path")).alias("name"), "gz_bytes", "date")
-    parsed = _parsed(spark, root).select(key, "documents", "corrupt")
-    opened = _opened(spark, root).select(key, "is_array", "response_bytes")
+    files = _files(spark, root, days).select(
+        _local_name(F.col("path")).alias("name"), "gz_bytes", "date"
+    )
+    parsed = _parsed(spark, root, days).select(key, "documents", "corrupt")
+    opened = _opened(spark, root, days).select(key, "is_array", "response_bytes")
     per_file = files.join(parsed, "name", "left").join(opened, "name", "left")
     reason = (
         F.when(F.col("corrupt") > 0, "malformed")

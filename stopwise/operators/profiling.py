@@ -57,8 +57,9 @@ def raw_events(trains: DataFrame) -> DataFrame:
 
 
 def row_count(trains: DataFrame) -> Column:
-    """Length of the nested array, read from a single nested field."""
-    return F.size("timetable_rows.type").cast("bigint")
+    """Length of the nested array, NULL for none, read from a single nested field."""
+    rows = F.col("timetable_rows.type")
+    return F.when(rows.isNotNull(), F.size(rows)).cast("bigint")
 
 
 def scope(trains: DataFrame) -> DataFrame:
@@ -69,7 +70,7 @@ def scope(trains: DataFrame) -> DataFrame:
     """
     per_day = trains.groupBy("ingest_date").agg(
         F.count("*").alias("trains"),
-        F.sum(F.greatest(row_count(trains), F.lit(0))).alias("events"),
+        F.sum(row_count(trains)).alias("events"),
     )
     return per_day.agg(
         F.sum("trains").alias("trains"),
@@ -218,10 +219,10 @@ def cancelled_trains(trains: DataFrame) -> DataFrame:
 
     All three come from the nested rows of one scan, without flattening.
     """
-    ran = F.size(F.filter(F.col("timetable_rows.actualTime"), lambda t: t.isNotNull()))
+    ran = F.size(F.array_compact(F.col("timetable_rows.actualTime")))
     return trains.filter("train_cancelled").agg(
         F.count("*").alias("cancelled_trains"),
-        F.coalesce(F.sum(F.greatest(row_count(trains), F.lit(0))), F.lit(0)).alias("events"),
+        F.coalesce(F.sum(row_count(trains)), F.lit(0)).alias("events"),
         F.coalesce(F.sum(F.greatest(ran.cast("bigint"), F.lit(0))), F.lit(0)).alias(
             "events_with_actual"
         ),

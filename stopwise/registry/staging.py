@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from stopwise import schemas
 from stopwise.functions import number_rows
-from stopwise.operators import analysis, dimensions, profiling, staging
-from stopwise.plans.reports import write_report
+from stopwise.operators import dimensions, profiling, staging
+from stopwise.plans.reports import findings, write_report
 from stopwise.registry.sample import Sample
 from stopwise.registry.sql import over
 from stopwise.sources import documents as src
@@ -115,15 +115,10 @@ def _profile_scratch(s: Sample) -> DataFrame:
 
 
 def _report_tables(s: Sample) -> DataFrame:
-    def two_answers(warehouse):
-        star = analysis.Star.of(warehouse)
-        return {
-            "daily_trend": analysis.daily_trend(star, s.settings),
-            "causes": analysis.causes(star),
-        }
-
-    tables = write_report(s.warehouse, two_answers, s.scratch("report"))
-    return profiling.relation_counts(tables)
+    """The whole report, and the rows of the answers with one row per day, hour or cause."""
+    tables = write_report(s.warehouse, findings, s.scratch("report"))
+    counted = ("daily_trend", "causes", "delay_by_hour", "delay_progression")
+    return profiling.relation_counts({name: tables[name] for name in counted})
 
 
 def _event_key(s: Sample) -> DataFrame:
@@ -341,8 +336,13 @@ ORACLES = {
     "snk_5_report_tables": over(
         """
         SELECT 'daily_trend' AS relation, count(DISTINCT date) AS n FROM base
+        UNION ALL SELECT 'causes', count(DISTINCT cause_key) FROM fct_causes
+        UNION ALL SELECT 'delay_by_hour', count(DISTINCT hour(scheduled_time)) FROM base
         UNION ALL
-        SELECT 'causes', count(DISTINCT cause_key) FROM fct_causes
+        SELECT 'delay_progression', CAST(sum(stops) AS BIGINT)
+        FROM (SELECT train_number, max(n) AS stops
+              FROM (SELECT train_number, date_key, count(*) AS n FROM base GROUP BY 1, 2)
+              GROUP BY 1)
         """
     ),
     "stg_1_event_key": over(

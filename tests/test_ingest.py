@@ -48,6 +48,12 @@ def test_each_landed_date_gets_its_outcome(spark, faulty):
     assert got[6]["files"] == 2 and got[6]["bad_files"] == 1
 
 
+def test_validation_can_be_limited_to_new_days(spark, faulty):
+    outcomes = ingest.validate_landing(spark, str(faulty), [_date(2), _date(5), _date(9)])
+    got = {r["date"].day: r["status"] for r in outcomes.collect()}
+    assert got == {2: "empty", 5: "accepted"}
+
+
 def test_a_bad_body_neither_advances_nor_reaches_staging(spark, faulty, tmp_path_factory):
     outcomes = ingest.validate_landing(spark, str(faulty))
     accepted = ingest.accepted_state(outcomes, ingest.wall_clock(dt.datetime(2024, 4, 1)))
