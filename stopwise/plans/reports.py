@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -78,8 +79,15 @@ def write_report(
     warehouse: Warehouse,
     report: Callable[[Warehouse], dict[str, DataFrame]],
     root: str,
+    at_once: int = 4,
 ) -> dict[str, DataFrame]:
-    """Write each answer of a report to its own table under ``root``."""
-    return {name: save(df, f"{root}/{name}") for name, df in report(warehouse).items()}
+    """Write each answer of a report to its own table under ``root``.
+
+    Answers are small and independent, so a few jobs share the cluster at a time.
+    """
+    answers = report(warehouse)
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        tables = pool.map(lambda name: save(answers[name], f"{root}/{name}"), answers)
+        return dict(zip(answers, tables))
 
 

@@ -112,7 +112,7 @@ def documents_from_events(events: DataFrame) -> DataFrame:
         .alias("commuterLineID"),
         _true_false_null(u % 20 == 0, u % 2 == 0).alias("cancelled"),
         F.when(u % 11 == 0, "ADHOC").otherwise("REGULAR").alias("timetableType"),
-        F.transform("rs", lambda r: r["row"]).alias("timeTableRows"),
+        F.col("rs.row").alias("timeTableRows"),
         "date",
         "slice",
     )
@@ -134,7 +134,7 @@ def documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").cast("string").alias("commercialTrack"),
         no_cause.alias("causes"),
     )
-    rows = F.filter(F.array(row), lambda r: r["scheduledTime"].isNotNull())
+    rows = F.slice(F.array(row), F.lit(1), F.when(F.col("l_orderkey").isNull(), 0).otherwise(1))
     return joined.select(
         F.to_date("o_orderdate").alias("departureDate"),
         F.col("o_orderkey").alias("trainNumber"),
