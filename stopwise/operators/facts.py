@@ -92,9 +92,11 @@ def known_causes(causes: DataFrame, events: DataFrame) -> DataFrame:
     """FCT-5. Cause rows whose event exists.
 
     The same as an inner join while event keys are unique; a semi join cannot
-    multiply rows where they are not.
+    multiply rows where they are not, and ``distinct`` shares the join's shuffle
+    while leaving one row of each repeated key.
     """
-    return causes.join(with_causes_only(events).select("event_key"), "event_key", "left_semi")
+    keys = with_causes_only(events).select("event_key").distinct()
+    return causes.join(keys, "event_key", "left_semi")
 
 
 def delay_causes(causes: DataFrame, events: DataFrame, cause: DataFrame) -> DataFrame:

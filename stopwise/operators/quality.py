@@ -38,7 +38,7 @@ def accepted_values(rel: DataFrame, column: str, values: Sequence[str]) -> DataF
 
 def relationships(rel: DataFrame, column: str, to: DataFrame, field: str) -> DataFrame:
     """DQ-4. Rows whose value does not occur in ``to.field``."""
-    parent = to.select(F.col(field).alias("__parent"))
+    parent = to.select(F.col(field).alias("__parent")).distinct()
     return rel.filter(F.col(column).isNotNull()).join(
         parent, F.col(column) == F.col("__parent"), "left_anti"
     )

@@ -11,9 +11,8 @@ from stopwise.operators.analysis import CARGO, PASSENGER
 from stopwise.registry.sample import Sample
 from stopwise.registry.sql import over
 
-# The stop looked at on the way, and the train that is followed on its own.
+# The stop looked at on the way.
 STOP = "S53"
-TRAIN = 17
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -62,7 +61,6 @@ QUERIES = {
     "ana_15_causes_equal_split": lambda s: ana.causes_equal_split(s.star),
     "ana_16_by_category": lambda s: _rounded(ana.by_category(s.star, s.settings), "p90"),
     "ana_17_delay_progression": lambda s: ana.delay_progression(s.star),
-    "ana_17_progression_of_one_train": lambda s: ana.delay_progression(s.star, TRAIN),
     "ana_18_progression_extremes": _progression_extremes,
     "ana_18_station_progression": lambda s: ana.station_progression(s.star),
     "ana_19_daily_trend": lambda s: ana.daily_trend(s.star, s.settings),
@@ -252,9 +250,6 @@ ORACLES = {
     ),
     "ana_16_by_category": _category_sql(1000),
     "ana_17_delay_progression": over("SELECT * FROM progression", _STOPS),
-    "ana_17_progression_of_one_train": over(
-        f"SELECT * FROM progression WHERE train_number = {TRAIN}", _STOPS
-    ),
     "ana_18_progression_extremes": over(
         f"""
         SELECT train_number, max(avg_delay) FILTER (WHERE seq <= 5) AS early_peak,

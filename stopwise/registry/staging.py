@@ -171,7 +171,7 @@ def _ranged_positions(s: Sample) -> DataFrame:
     )
 
 
-def _unknown_members(s: Sample) -> DataFrame:
+def _members(s: Sample) -> DataFrame:
     station = s.warehouse.dim_station.select(
         F.lit("station").alias("dim"),
         F.col("station_key").alias("key"),
@@ -184,7 +184,7 @@ def _unknown_members(s: Sample) -> DataFrame:
         F.col("cause_category_code").alias("code"),
         F.col("cause_category_name").alias("name"),
     )
-    return station.unionByName(cause).filter(F.col("key") < 10)
+    return station.unionByName(cause)
 
 
 QUERIES = {
@@ -223,7 +223,7 @@ QUERIES = {
     "stg_13_cause_codes_detailed": lambda s: s.warehouse.stg_cause_codes_detailed,
     "dim_1_dense_key_ranged": _ranged_keys,
     "dim_1_position_within_ranged": _ranged_positions,
-    "dim_2_unknown_members": _unknown_members,
+    "dim_2_members": _members,
     "dim_3_station": lambda s: dimensions.station(s.warehouse.stg_stations),
     "dim_4_date": lambda s: dimensions.date(s.warehouse.headers),
     "dim_5_train_type": lambda s: dimensions.train_type(s.warehouse.headers),
@@ -394,14 +394,12 @@ ORACLES = {
                  AS position
         FROM orders
     """,
-    "dim_2_unknown_members": over(
+    "dim_2_members": over(
         """
-        SELECT * FROM (
-          SELECT 'station' AS dim, station_key AS key, station_short_code AS code,
-                 station_name AS name FROM dim_station
-          UNION ALL
-          SELECT 'cause', cause_key, cause_category_code, cause_category_name FROM dim_cause)
-        WHERE key < 10
+        SELECT 'station' AS dim, station_key AS key, station_short_code AS code,
+               station_name AS name FROM dim_station
+        UNION ALL
+        SELECT 'cause', cause_key, cause_category_code, cause_category_name FROM dim_cause
         """
     ),
     "dim_3_station": over("SELECT * FROM dim_station"),

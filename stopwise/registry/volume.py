@@ -57,9 +57,8 @@ QUERIES = {
 
 ORACLES = {
     "vol_stg_2_documents_by_rows": """
-        SELECT n_rows, count(*) AS documents
-        FROM (SELECT CAST(l_orderkey IS NOT NULL AS BIGINT) AS n_rows
-              FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey)
+        SELECT CAST(l_orderkey IS NOT NULL AS BIGINT) AS n_rows, count(*) AS documents
+        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
         GROUP BY 1
     """,
     "vol_stg_7_flatten": """

@@ -119,8 +119,17 @@ def documents_from_events(events: DataFrame) -> DataFrame:
 
 
 def documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Binding L: a document per line item, and an empty one per order without any."""
-    joined = orders.join(lineitem, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    """Binding L: a document per line item, and an empty one per order without any.
+
+    An outer join could not split an order that holds most line items, as those
+    are on its inner side; an inner join can, and the anti join sees each order
+    key once.
+    """
+    same_order = F.col("l_orderkey") == F.col("o_orderkey")
+    filled = lineitem.join(orders, same_order)
+    keys = lineitem.select("l_orderkey").distinct()
+    empty = orders.join(keys, same_order, "left_anti")
+    joined = filled.unionByName(empty, allowMissingColumns=True)
     no_cause = F.array().cast(schemas.TIMETABLE_ROW["causes"].dataType)
     row = F.struct(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("stationShortCode"),
