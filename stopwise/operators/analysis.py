@@ -78,11 +78,7 @@ BASE_COLUMNS = [
     "station_key",
     "station_short_code",
     "date_key",
-    "date",
-    "is_weekend",
     "train_type_key",
-    "train_type",
-    "train_category",
     "scheduled_time",
     "delay_minutes",
     "is_cancelled",
@@ -90,35 +86,49 @@ BASE_COLUMNS = [
 
 
 def realised_arrivals(star: Star) -> DataFrame:
-    """Realised, plausible arrivals at commercial stops, of a known train type and date."""
-    realised = star.events.filter(
+    """Realised, plausible arrivals at commercial stops, of a known train type and date.
+
+    A key that is there always has its dimension row: the build assigns keys by
+    lookup and checks them. Asking for the keys replaces two joins per row.
+    """
+    return star.events.filter(
         (F.col("event_type") == "ARRIVAL")
         & F.col("is_commercial_stop")
         & F.col("has_actual_time")
         & F.col("is_plausible_delay")
+        & F.col("train_type_key").isNotNull()
+        & F.col("date_key").isNotNull()
     )
-    return realised.join(
-        star.train_type.select("train_type_key", "train_type", "train_category"),
-        "train_type_key",
-    ).join(star.date.select("date_key", "date", "is_weekend"), "date_key")
 
 
-def arrivals(star: Star, exclude_cancelled: bool = False, names: bool = False) -> DataFrame:
-    """ANA-0. The population every question starts from.
+def arrivals(star: Star, exclude_cancelled: bool = False) -> DataFrame:
+    """ANA-0. The population every question starts from, with keys only.
 
-    ``names`` adds the station name; questions that group first and name later
-    leave it off.
+    Questions group by key first and look attributes up afterwards, so a join
+    sees one row per group instead of every arrival.
     """
     base = realised_arrivals(star) if star.base is None else star.base
-    if exclude_cancelled:
-        base = base.filter(~F.col("is_cancelled"))
-    return with_station_name(base, star) if names else base
+    return base.filter(~F.col("is_cancelled")) if exclude_cancelled else base
+
+
+def with_train_type(rows: DataFrame, star: Star) -> DataFrame:
+    columns = ("train_type_key", "train_type", "train_category")
+    return rows.join(star.train_type.select(*columns), "train_type_key")
+
+
+def with_date(rows: DataFrame, star: Star) -> DataFrame:
+    return rows.join(star.date.select("date_key", "date", "is_weekend"), "date_key")
 
 
 def with_station_name(rows: DataFrame, star: Star) -> DataFrame:
     return rows.join(star.station.select("station_key", "station_name"), "station_key", "left")
 
 
+def described_arrivals(star: Star) -> DataFrame:
+    """ANA-0. The population with the attributes of its dimensions."""
+    return with_station_name(with_date(with_train_type(arrivals(star), star), star), star)
+
+
 def _delay() -> Column:
     return F.col("delay_minutes")
 
@@ -150,11 +160,7 @@ def network_totals(star: Star, settings: Settings = Settings(), **population) ->
 
 
 def station_ranking(star: Star, settings: Settings = Settings()) -> DataFrame:
-    """ANA-4. Stations with enough arrivals, least punctual first.
-
-    Rows are grouped by key before the name is looked up: the join then sees one
-    row per station instead of every arrival.
-    """
+    """ANA-4. Stations with enough arrivals, least punctual first."""
     by_station = (
         arrivals(star)
         .groupBy("station_key", F.col("station_short_code").alias("code"))
@@ -327,7 +333,7 @@ def by_category(
     ``floor`` keeps categories with more arrivals than that; pass -1 for all.
     """
     floor = settings.category_min_arrivals if floor is None else floor
-    counts = _delay_counts(arrivals(star), "train_category")
+    counts = with_train_type(_delay_counts(arrivals(star), "train_type_key"), star)
     n, delay = F.col("rows"), _delay()
     known = F.sum(F.when(delay.isNotNull(), n))
     return (
@@ -344,7 +350,7 @@ def by_category(
 
 
 def _of_train(star: Star, train_number: int | None) -> DataFrame:
-    base = arrivals(star, names=True)
+    base = arrivals(star)
     return base if train_number is None else base.filter(F.col("train_number") == train_number)
 
 
@@ -354,7 +360,7 @@ def delay_progression(star: Star, train_number: int | None = None) -> DataFrame:
     Positions are counted per date, so a stop missing on one date shifts the
     later ones; ``station_progression`` keys by station instead.
     """
-    stops = _of_train(star, train_number).select(
+    stops = with_station_name(_of_train(star, train_number), star).select(
         "train_number",
         "date_key",
         "scheduled_time",
@@ -398,7 +404,7 @@ def station_progression(star: Star, train_number: int | None = None) -> DataFram
         "SECOND", F.col("date").cast("timestamp_ntz"), F.col("scheduled_time")
     )
     return (
-        _of_train(star, train_number)
+        with_date(_of_train(star, train_number), star)
         .groupBy("train_number", F.col("station_short_code").alias("scode"))
         .agg(
             F.min(offset).alias("first_offset_seconds"),
@@ -411,17 +417,38 @@ def station_progression(star: Star, train_number: int | None = None) -> DataFram
 
 def daily_trend(star: Star, settings: Settings = Settings()) -> DataFrame:
     """ANA-19."""
-    return (
+    by_day = (
         arrivals(star)
-        .groupBy("date", "is_weekend")
+        .groupBy("date_key")
         .agg(F.avg(_on_time(settings)).alias("on_time_rate"), F.count("*").alias("n"))
-        .orderBy("date")
+    )
+    return (
+        with_date(by_day, star).select("date", "is_weekend", "on_time_rate", "n").orderBy("date")
     )
 
 
 def weekday_weekend(star: Star, settings: Settings = Settings()) -> DataFrame:
     """ANA-20. Weekdays against weekends, in one pass."""
-    return arrivals(star).groupBy("is_weekend").agg(*_measures(settings))
+    by_day = (
+        arrivals(star)
+        .groupBy("date_key")
+        .agg(
+            F.count("*").alias("rows"),
+            F.count("delay_minutes").alias("known"),
+            F.sum(_on_time(settings)).alias("on_time"),
+            F.sum("delay_minutes").alias("minutes"),
+        )
+    )
+    known = F.nullif(F.sum("known"), F.lit(0))
+    return (
+        with_date(by_day, star)
+        .groupBy("is_weekend")
+        .agg(
+            F.sum("rows").alias("n"),
+            (F.sum("on_time") / known).alias("on_time_rate"),
+            (F.sum("minutes") / known).alias("avg_delay"),
+        )
+    )
 
 
 def day_extremes(star: Star, settings: Settings = Settings()) -> DataFrame:
@@ -479,11 +506,9 @@ def delay_quantiles(star: Star) -> DataFrame:
     )
 
 
-def _stops(star: Star, categories: tuple[str, ...]) -> DataFrame:
+def _of_categories(rows: DataFrame, star: Star, categories: tuple[str, ...]) -> DataFrame:
     wanted = star.train_type.filter(F.col("train_category").isin(*categories))
-    return star.events.filter("is_stopping").join(
-        wanted.select("train_type_key"), "train_type_key"
-    )
+    return rows.join(wanted.select("train_type_key"), "train_type_key", "left_semi")
 
 
 def _busiest(by_station: DataFrame, star: Star, measure: str, count: int) -> DataFrame:
@@ -499,15 +524,20 @@ def _busiest(by_station: DataFrame, star: Star, measure: str, count: int) -> Dat
 
 def busiest_by_events(star: Star, categories: tuple[str, ...], count: int = 15) -> DataFrame:
     """ANA-25. Stations with most stopping events of some train categories."""
-    by_station = (
-        _stops(star, categories).groupBy("station_key").agg(F.count("*").alias("events"))
+    by_type = (
+        star.events.filter("is_stopping")
+        .groupBy("station_key", "train_type_key")
+        .agg(F.count("*").alias("events"))
     )
+    wanted = _of_categories(by_type, star, categories)
+    by_station = wanted.groupBy("station_key").agg(F.sum("events").alias("events"))
     return _busiest(by_station, star, "events", count)
 
 
 def busiest_by_visits(star: Star, categories: tuple[str, ...], count: int = 15) -> DataFrame:
     """ANA-26. Stations with most visits: a train on a date counts once per station."""
-    visits = _stops(star, categories).select("train_number", "date_key", "station_key").distinct()
+    stops = _of_categories(star.events.filter("is_stopping"), star, categories)
+    visits = stops.select("train_number", "date_key", "station_key").distinct()
     by_station = visits.groupBy("station_key").agg(F.count("*").alias("visit_count"))
     return _busiest(by_station, star, "visit_count", count)
 

@@ -21,7 +21,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _base(s: Sample) -> DataFrame:
-    return ana.arrivals(s.star, names=True).select(
+    return ana.described_arrivals(s.star).select(
         "event_key",
         "station_key",
         "station_name",
