@@ -12,6 +12,10 @@ from stopwise.settings import Settings
 from stopwise.storage import gathered, save
 
 
+# Key and code of this many rows stay below the default broadcast threshold.
+BROADCAST_SIZED_ROWS = 100_000
+
+
 @dataclass(frozen=True)
 class Sources:
     """Raw inputs, as landed."""
@@ -116,6 +120,9 @@ class Warehouse:
         fact = facts.timetable_events(
             self.stg_timetable_events, self.dim_station, self.dim_train_type, self.dim_date
         )
+        if self.dim_station.count() > BROADCAST_SIZED_ROWS:
+            # The station lookup is then a shuffle join, which scatters dates.
+            fact = gathered(fact, "source_ingest_date")
         return self._table("fct_timetable_events", fact, "source_ingest_date")
 
     @cached_property
