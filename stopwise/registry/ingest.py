@@ -26,7 +26,8 @@ SETTLED_MINUTES = 2
 
 
 def _validation(s: Sample) -> DataFrame:
-    return ingest.validate_landing(s.spark, s.faulty_json_root).select("date", "files", "bad_files", "status", "num_trains")
+    outcomes = ingest.validate_landing(s.spark, s.faulty_json_root)
+    return outcomes.select("date", "files", "bad_files", "status", "num_trains")
 
 
 def _state_log(s: Sample) -> DataFrame:

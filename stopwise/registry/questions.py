@@ -115,7 +115,8 @@ _LABELS = "labels(code, label) AS (VALUES " + ", ".join(
 
 _STOPS = """
 stops AS (
-  SELECT train_number, station_short_code AS scode, coalesce(station_name, station_short_code) AS sname,
+  SELECT train_number, station_short_code AS scode,
+         coalesce(station_name, station_short_code) AS sname,
          delay_minutes,
          row_number() OVER (PARTITION BY train_number, date_key
                             ORDER BY scheduled_time, station_short_code, event_key) AS seq

@@ -153,8 +153,8 @@ def test_scope_and_days_of_the_profile(sources):
     per_day = {r["ingest_date"].day: r for r in prf.trains_per_day(trains).collect()}
     assert (per_day[10]["trains"], per_day[10]["cancelled"]) == (4, 1)
     assert per_day[10]["day_name"] == "Sunday" and per_day[10]["is_weekend"]
-    means = {r["is_weekend"]: r["mean_trains"] for r in prf.mean_trains_by_day_kind(trains).collect()}
-    assert means == {True: 4.0, False: 1.0}
+    means = prf.mean_trains_by_day_kind(trains).collect()
+    assert {r["is_weekend"]: r["mean_trains"] for r in means} == {True: 4.0, False: 1.0}
 
 
 def test_profile_of_missing_and_extreme_values(sources):
