@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, lines, mixing
-from stopwise.llm.common import table
+from stopwise.llm import decontaminate, language, lines, mixing, secrets, toxicity
+from stopwise.llm.common import held_out, table
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +17,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.select("doc_id", "text", "lang"))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate on its source."""
     kept = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -31,10 +39,27 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    rated = toxicity.score(docs, model)
+    return rated.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
     "op5_line_dedup": op5_line_dedup,
     "op7_decontamination": op7_decontamination,
+    "op8_toxicity": op8_toxicity,
+    "op9_secrets": op9_secrets,
 }
 
 _SPACE = r"[^\x20\x09-\x0D]+"
