@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, language, lines, mixing, secrets, toxicity
+from stopwise.llm import decontaminate, jaccard, language, lines, mixing, secrets, toxicity
 from stopwise.llm.common import held_out, table
 
 
@@ -53,6 +53,11 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the group of near copies it belongs to."""
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
+    "op10_jaccard": op10_jaccard,
 }
 
 _SPACE = r"[^\x20\x09-\x0D]+"
@@ -125,6 +131,23 @@ SELECT d.doc_id, d.source, coalesce(len(string_split(d.text, chr(10))), 0) AS n_
        coalesce(n_removed, 0) AS n_removed,
        sha256(coalesce(CASE WHEN n_removed > 0 THEN coalesce(kept.text, '') ELSE d.text END, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept USING (doc_id)""",
+    "op10_jaccard": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i : i + 4], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (h)
+                        WHERE x.doc_id <> y.doc_id GROUP BY ALL) p
+  JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.b AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) r ON r.a = d.doc_id""",
     "op7_decontamination": r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
