@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, jaccard, language, lines, mixing, secrets, toxicity
+from stopwise.llm import decontaminate, jaccard, language, lines, mixing, secrets, substrings, toxicity
 from stopwise.llm.common import held_out, table
 
 
@@ -25,6 +25,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of long strings that occur more than once."""
+    left = substrings.dedup(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that are boilerplate on its source."""
     kept = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -61,6 +67,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
+    "op4_substrings": op4_substrings,
     "op5_line_dedup": op5_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
