@@ -167,10 +167,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     ``docs`` needs text; every column and row stays. Null texts and texts without a letter are
     ``und`` with score 0, and so is everything when nothing could be learned.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.places, model.logs))  # bounded by the sample
 
     def predictions(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = Predictor(shared.value)
+        own = Predictor(Model(*shared.value))
         for texts in batches:
             yield pd.DataFrame([own.predict(t) for t in texts], columns=["lang_pred", "score"])
 

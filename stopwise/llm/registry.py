@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, jaccard, language, lines, mixing, secrets, substrings, toxicity
+from stopwise.llm import decontaminate, jaccard, language, lines, mixing, neighbours, secrets, substrings, toxicity
 from stopwise.llm.common import held_out, table
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20, among all others."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's target and the words the mix takes of it."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -65,6 +70,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_neighbours": op1_neighbours,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
