@@ -1,21 +1,33 @@
-"""The corpus pipeline: documents through line dedup, decontamination and mixing."""
+"""The corpus pipeline: from raw documents to a decontaminated, deduplicated mix."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, lines, mixing
+from stopwise.llm import decontaminate, jaccard, lines, mixing, toxicity
 from stopwise.llm.common import table
 from stopwise.storage import fresh_dir, save
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the toxicity classifier does not reject."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines."""
-    return lines.drop_boilerplate(docs).select(*docs.columns)
+    """All documents, without their source's boilerplate lines; n_chars follows the text."""
+    left = lines.drop_boilerplate(docs).select(*docs.columns)
+    return left.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard.first_of_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without those that hold benchmark passages."""
+    """Documents that hold no window of a benchmark item."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -25,7 +37,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("mixing", mix),
 ]
@@ -40,4 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
+# The classifier is trained, which SQL cannot say; tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, jaccard, language, lines, mixing, neighbours, secrets, substrings, toxicity
+from stopwise.llm import decontaminate, htmltext, jaccard, language, lines, mixing, neighbours, secrets, substrings, toxicity
 from stopwise.llm.common import held_out, table
 
 
@@ -45,6 +45,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract(pages, htmltext.train(pages))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the benchmark words and items it holds."""
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language": op3_language,
     "op4_substrings": op4_substrings,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html": op6_html,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
