@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from stopwise.llm.common import same
 
 #: A line goes when it is on more than this part of its host's pages ...
-RATIO = 0.05
+RATIO = 0.08
 #: ... and on this many of them at least: on a host of one page every line is on all pages.
-LEAST_PAGES = 3
+LEAST_PAGES = 5
 
 _LINES, _TEXT = "__lines", "__texthash"
 
