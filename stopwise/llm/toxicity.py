@@ -20,8 +20,8 @@ from stopwise.llm.common import held_out
 ORDERS = (3, 4, 5)
 BITS = 18
 #: Labelled rows of each class the model is fitted on, at most: those with the smallest id hash.
-TOXIC_ROWS = 1500
-OTHER_ROWS = 3000
+TOXIC_ROWS = 1000
+OTHER_ROWS = 2000
 THRESHOLD = 0.3
 
 _MUL = np.uint32(0x01000193)
@@ -58,7 +58,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, rounds: int = 40, least: float = 0.3) -> Model:
+def fit(rows: list[np.ndarray], labels: np.ndarray, rounds: int = 40, least: float = 0.4) -> Model:
     """Train on feature lists and 0/1 labels. Without both classes the score is the class share.
 
     Features whose log-count ratio is within ``least`` of 0 would be scaled to almost nothing and
@@ -78,19 +78,20 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, rounds: int = 40, least: flo
     rows = [r[ratio[r] != 0] for r in rows]
     of = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int32)
+    del rows
     scaled = (ratio[flat] / np.sqrt(np.maximum(lengths, 1))[of]).astype(np.float32)
     # Classes weigh alike in the loss.
     weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (n - labels.sum()))
-    w, b = np.ones(size), 0.0
+    w, b = np.ones(size, np.float32), 0.0
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
         z = b + np.bincount(of, weights=scaled * w[flat], minlength=n)
-        err = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
+        err = (weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)).astype(np.float32)
         g = np.append(np.bincount(flat, weights=scaled * err[of], minlength=size), err.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
+        w, b = (w - step[:-1]).astype(np.float32), b - step[-1]
     return Model((w * ratio).astype(np.float32), float(b))
 
 
@@ -102,7 +103,7 @@ def _train_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = _scratch()
     for batch in batches:
         yield pd.DataFrame(
-            {"toxic": batch["toxic"], "f": [features(t, last).astype(np.int32) for t in batch["text"]]}
+            {"toxic": batch["toxic"], "f": [features(t, last).astype(np.int32).tobytes() for t in batch["text"]]}
         )
 
 
@@ -113,8 +114,12 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, othe
     by_hash = lambda c, n: usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = by_hash(1, toxic_rows).unionByName(by_hash(0, other_rows))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the parameters
-    got = sample.select("toxic", "text").mapInPandas(_train_rows, "toxic int, f array<int>").toPandas()
-    return fit([np.asarray(f, dtype=np.int64) for f in got["f"]], got["toxic"].to_numpy(dtype=np.int64))
+    sent = sample.select("toxic", "text").mapInPandas(_train_rows, "toxic int, f binary")
+    rows, classes = [], []
+    for row in sent.toLocalIterator():  # bounded by the parameters
+        rows.append(np.frombuffer(row["f"], np.int32))
+        classes.append(row["toxic"])
+    return fit(rows, np.array(classes, dtype=np.int64))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
