@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,3 +42,12 @@ def kept(df: DataFrame) -> DataFrame:
     """A reliable copy in the shared checkpoint folder; cuts the lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def frame(rows: list[tuple], names: list[str], whole: tuple[str, ...] = ()) -> pd.DataFrame:
+    """Rows as a frame whose ``whole`` columns are nullable longs; plain pandas would make floats of
+    whole numbers beside a null and round them."""
+    columns = list(zip(*rows)) if rows else [()] * len(names)
+    return pd.DataFrame(
+        {n: pd.array(c, "Int64") if n in whole else pd.Series(c, dtype=object) for n, c in zip(names, columns)}
+    )

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stopwise.llm.common import kept, same
+from stopwise.llm.common import frame, kept, same
 from stopwise.llm.components import components
 from stopwise.storage import fresh_dir, save
 
@@ -88,8 +88,7 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 seen.add(node)
                 np.add.at(total, _cells(own), 1)
             rows.append((doc_id, node, len(own), None, None))
-        out = pd.DataFrame(rows, columns=names)
-        yield out.astype({"doc_id": "Int64", "node": "Int64", "chunk": "Int32"})
+        yield frame(rows, names, ("node", "n", "chunk"))
     width = (1 << SKETCH_BITS) // CHUNKS
     rows = []
     for k in range(CHUNKS):
@@ -99,7 +98,7 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sparse = full.astype("<u2").tobytes() + part[full].tobytes()
             rows.append((None, None, 0, k, sparse if len(sparse) < width else part.tobytes()))
     if rows:
-        yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "node": "Int64", "chunk": "Int32"})
+        yield frame(rows, names, ("node", "n", "chunk"))
 
 
 def _sum_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,10 +257,13 @@ def classes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     root = fresh_dir(spark, "jaccard")
     docs = docs.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType
+    # Ids pass through Python as text: beside a null, pandas would round them.
+    named = docs.select(F.col("doc_id").cast("string"), "text")
     survey = save(
-        docs.mapInPandas(_survey, "doc_id long, node long, n int, chunk int, counts binary"), f"{root}/survey"
+        named.mapInPandas(_survey, "doc_id string, node long, n int, chunk int, counts binary"), f"{root}/survey"
     )
-    members = survey.filter(F.col("chunk").isNull()).select("doc_id", "node", "n")
+    members = survey.filter(F.col("chunk").isNull()).select(F.col("doc_id").cast(kind), "node", "n")
     nodes = members.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc"))
 
     # Index shingles that more than one node has, with the earliest such node.
