@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stopwise.llm.common import ascii_lower, same
+from stopwise.llm.common import ascii_lower, kept, same
 
 #: Words of the contract: runs of digits, a-z and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -70,12 +70,19 @@ def hits(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> tuple[DataFrame,
     found = windows.select("length", "hash", "window").distinct()
     sizes = found.groupBy("length").count().collect()  # at most n rows
     lengths = sorted(r["length"] for r in sizes) or [n]
-    if sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS:
-        found = F.broadcast(found)
-
     split = docs.select(
         "doc_id", F.xxhash64("text").alias(_COPY), words(F.col("text")).alias(_WORDS)
     )
+    if sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS:
+        return _probed(split, F.broadcast(found), lengths, [_WORDS]), windows
+    return _looked_up(split, found, lengths), windows
+
+
+def _probed(split: DataFrame, found: DataFrame, lengths: list[int], carried: list[str]) -> DataFrame:
+    """Every position against the set; the words are compared where they are carried along.
+
+    Carrying them costs nothing as long as the join stays in the stage that splits the text.
+    """
     at = split.select(
         "doc_id", _COPY, F.size(_WORDS).alias(_N), _WORDS, F.posexplode_outer(_WORDS).alias("at", "w")
     )
@@ -83,22 +90,38 @@ def hits(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> tuple[DataFrame,
     hashed = [
         F.when(pos + k <= F.col(_N), _window_hash(w, pos, k)).alias(f"__h{k}") for k in lengths
     ]
+    own = ["doc_id", _COPY, _N, "at", *carried]
     if len(lengths) == 1:
-        probes = at.select("*", hashed[0].alias("__probe"), F.lit(lengths[0]).alias("__length"))
+        probes = at.select(*own, hashed[0].alias("__probe"), F.lit(lengths[0]).alias("__length"))
     else:
         pairs = F.array(*[F.struct(h.alias("h"), F.lit(k).alias("k")) for h, k in zip(hashed, lengths)])
-        probes = at.select("*", F.explode(pairs).alias("__pair")).select(
-            "*", F.col("__pair.h").alias("__probe"), F.col("__pair.k").alias("__length")
+        probes = at.select(*own, F.explode(pairs).alias("__pair")).select(
+            *own, F.col("__pair.h").alias("__probe"), F.col("__pair.k").alias("__length")
         )
-    verified = (F.col("__probe") == F.col("hash")) & (F.col("__length") == F.col("length")) & (
-        F.array_join(F.slice(w, pos + 1, F.col("__length")), " ") == F.col("window")
-    )
-    positions = (
-        probes.join(found, verified, "left")
+    met = (F.col("__probe") == F.col("hash")) & (F.col("__length") == F.col("length"))
+    if not carried:
+        return probes.join(found, met).select("doc_id", _COPY, "at", "length", "window")
+    met &= F.array_join(F.slice(w, pos + 1, F.col("__length")), " ") == F.col("window")
+    return (
+        probes.join(found, met, "left")
         .filter(F.col("window").isNotNull() | F.col("at").isNull() | (F.col("at") == 0))
         .select("doc_id", _COPY, _N, "at", "length", "window")
     )
-    return positions, windows
+
+
+def _looked_up(split: DataFrame, found: DataFrame, lengths: list[int]) -> DataFrame:
+    """The same for a set that is not broadcast: hashes alone are shuffled, and a document meets
+    its candidate positions, one list per document, to have the words compared."""
+    hit = F.struct("at", "length", "window")
+    maybe = _probed(split, found, lengths, []).groupBy("doc_id", _COPY).agg(F.collect_set(hit).alias("maybe"))
+    same_words = lambda c: F.array_join(F.slice(_WORDS, c["at"] + 1, c["length"]), " ") == c["window"]
+    checked = (
+        split.alias("s").join(maybe.alias("m"), same("s", "m", "doc_id", _COPY), "left")
+        .select("s.doc_id", f"s.{_COPY}", F.size(_WORDS).alias(_N), F.filter("maybe", same_words).alias("hits"))
+    )
+    return checked.select("doc_id", _COPY, _N, F.explode_outer("hits").alias("h")).select(
+        "doc_id", _COPY, _N, "h.at", "h.length", "h.window"
+    )
 
 
 def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
@@ -110,6 +133,7 @@ def report(docs: DataFrame, items: DataFrame, n: int = WINDOW) -> DataFrame:
     an id like any other; repeated items count once; items without words never match.
     """
     positions, windows = hits(docs, items, n)
+    positions = kept(positions)  # small, and read twice below
     key = ["doc_id", _COPY]
     found = positions.filter(F.col("window").isNotNull())
 
