@@ -20,12 +20,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PATH_DIM, WORD_DIM, NUMBERS = 64, 32, 6
+PATH_DIM, WORD_DIM, NUMBERS = 128, 32, 6
 INPUT = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 16
 #: Pages the labeller is trained on, pages composed from them, and blocks of a training page.
-SAMPLE_PAGES, COMPOSED_PAGES, TRAIN_BLOCKS = 300, 300, 120
-EPOCHS, BATCH = 12, 16
+SAMPLE_PAGES, COMPOSED_PAGES, TRAIN_BLOCKS = 300, 400, 120
+EPOCHS, BATCH = 16, 16
 SEED = 6
 #: Blocks labelled together at most, whatever the pages' lengths.
 BLOCKS_AT_ONCE = 20_000
@@ -213,7 +213,7 @@ class Lstm:
 
 
 class Labeller:
-    """A forward and a backward LSTM and a logistic output over both."""
+    """A forward and a backward LSTM and a logistic output over both and over the block itself."""
 
     def __init__(self, params: list[np.ndarray]):
         self.params = params
@@ -227,14 +227,15 @@ class Labeller:
             bias = np.zeros(4 * HIDDEN, np.float32)
             bias[HIDDEN : 2 * HIDDEN] = 1  # remember at first
             params += [rng.normal(0, scale, (INPUT + HIDDEN, 4 * HIDDEN)).astype(np.float32), bias]
-        return cls([*params, rng.normal(0, 0.2, 2 * HIDDEN).astype(np.float32), np.zeros(1, np.float32)])
+        output = [rng.normal(0, 0.2, 2 * HIDDEN).astype(np.float32), np.zeros(1, np.float32), np.zeros(INPUT, np.float32)]
+        return cls(params + output)
 
     def _run(self, x: np.ndarray, mask: np.ndarray) -> tuple:
         ahead, back = Lstm(*self.params[0:2]), Lstm(*self.params[2:4])
         out1, tape1 = ahead.forward(x, mask)
         out2, tape2 = back.forward(x[::-1], mask[::-1])
         both = np.concatenate([out1, out2[::-1]], axis=2)
-        return ahead, back, tape1, tape2, both, _sigmoid(both @ self.params[4] + self.params[5])
+        return ahead, back, tape1, tape2, both, _sigmoid(both @ self.params[4] + self.params[5] + x @ self.params[6])
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
         """Per page the probability of each block; pages of like length go together."""
@@ -270,7 +271,7 @@ class Labeller:
                 err = (p - y) * known / max(1.0, known.sum())
                 grad = err[:, :, None] * self.params[4]
                 g = [*ahead.backward(x, tape1, grad[:, :, :HIDDEN]), *back.backward(x[::-1], tape2, grad[::-1, :, HIDDEN:])]
-                g += [np.einsum("tn,tnh->h", err, both), np.array([err.sum()], np.float32)]
+                g += [np.einsum("tn,tnh->h", err, both), np.array([err.sum()], np.float32), np.einsum("tn,tnh->h", err, x)]
                 t += 1
                 for i, one in enumerate(g):
                     m[i] = 0.9 * m[i] + 0.1 * one
@@ -302,6 +303,7 @@ def compose(texts: list[str], count: int = COMPOSED_PAGES) -> list[str]:
         lambda: f'<div class="{one(boxes)}"><p>{say(30)}</p></div>',
         lambda: f'<div id="{one(boxes)}">{say(20)}</div>',
         lambda: f"<aside><h3>{say(5)}</h3>{few(1, 4, lambda: f'<p>{say(25)}</p>')}</aside>",
+        lambda: "<{0}>{1}</{0}>".format(one(["header", "footer", "aside", "nav", "form"]), few(1, 4, lambda: f"<p>{say(25)}</p>")),
         lambda: f"<form><label>{say(4)}</label><button>{say(3)}</button></form>",
         lambda: f'<div class="comments">{few(1, 5, lambda: f"<p>{say(40)}</p>")}</div>',
     ]
@@ -310,7 +312,7 @@ def compose(texts: list[str], count: int = COMPOSED_PAGES) -> list[str]:
     for _ in range(count):
         paragraph = lambda: f"<{one(['p', 'p', 'p', 'blockquote', 'h2', 'li', 'td'])}>{say(120)}"
         main = one(mains)
-        article = f"<{main}><h1>{say(12)}</h1>{few(1, 9, paragraph)}</{main.split()[0]}>"
+        article = f"<{main}><h1>{say(12)}</h1>{few(1, one([9, 9, 60]), paragraph)}</{main.split()[0]}>"
         before, after = few(0, 4, lambda: one(around)()), few(0, 4, lambda: one(around)())
         pages.append(f"<body>{before}{article}{after}<footer><p>&copy; {say(12)}</p></footer></body>")
     return pages

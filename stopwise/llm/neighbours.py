@@ -195,7 +195,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         asked = part["query"].to_numpy() == 1
         queries, held = part[asked], part[~asked]
         if not len(queries) or not len(held):
-            return pd.DataFrame({"vkey": [], "found": []})
+            return pd.DataFrame({"vkey": pd.Series([], dtype="int64"), "found": pd.Series([], dtype=object)})
         best = _best(_matrix(queries["vec"]), _matrix(held["vec"]), held["vkey"].to_numpy(), k)
         found = [[{"score": s, "other": o} for o, s in zip(keys, scores)] for keys, scores in best]
         return pd.DataFrame({"vkey": queries["vkey"].to_numpy(), "found": found})
