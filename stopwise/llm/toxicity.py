@@ -1,9 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the distinct hashed n-grams of the whole lower-cased text. Each is scaled by the log
-ratio of its smoothed share in toxic and in other training documents; a logistic regression is
-trained on the scaled features. Training reads a bounded sample of labelled rows; scoring is one
-map over the documents.
+Features are the hashed n-grams of the whole lower-cased text: the logarithms of their counts,
+brought to length 1. Each is scaled by the log ratio of its smoothed share in toxic and in other
+training documents; a logistic regression is trained on the scaled features. Training reads a
+bounded sample of labelled rows; scoring is one map over the documents.
 """
 
 from __future__ import annotations
@@ -23,13 +23,14 @@ BITS = 18
 TOXIC_ROWS = 1000
 OTHER_ROWS = 2000
 THRESHOLD = 0.3
+L2 = 1e-5
 
 _MUL = np.uint32(0x01000193)
 _MIX = np.uint32(0x9E3779B1)
 
 
-def features(text: str, last: np.ndarray) -> np.ndarray:
-    """Distinct hashed n-grams of a text. ``last`` is scratch of 2^BITS places; its content is free."""
+def features(text: str | None, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, values) of a text's n-grams. ``last`` is scratch of 2^BITS places; its content is free."""
     raw = f" {(text or '').lower()} ".encode("utf-32-le", "surrogatepass")
     points = np.frombuffer(raw, dtype=np.uint32) * _MIX
     h, hashed = points, []
@@ -40,11 +41,14 @@ def features(text: str, last: np.ndarray) -> np.ndarray:
         if n in ORDERS:
             hashed.append((h * _MIX) >> np.uint32(32 - BITS))
     if not hashed:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
     at = np.concatenate(hashed).astype(np.int64)
-    place = np.arange(len(at), dtype=np.int32)
-    last[at] = place  # the last of equal features wins, and alone finds itself again
-    return at[last[at] == place]
+    turn = np.arange(len(at), dtype=np.int32)
+    last[at] = turn
+    own = last[at]  # the last of equal n-grams stands for all of them
+    first = own == turn
+    values = np.log1p(np.bincount(own, minlength=len(at))[first]).astype(np.float32)
+    return at[first].astype(np.int32), values / np.sqrt((values * values).sum())
 
 
 class Model:
@@ -53,41 +57,38 @@ class Model:
     def __init__(self, weights: np.ndarray, bias: float):
         self.weights, self.bias = weights, bias
 
-    def score(self, found: np.ndarray) -> float:
-        z = self.bias + float(self.weights[found].sum()) / np.sqrt(max(1, len(found)))
+    def score(self, found: tuple[np.ndarray, np.ndarray]) -> float:
+        z = self.bias + float((self.weights[found[0]] * found[1]).sum())
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, rounds: int = 40, least: float = 0.4) -> Model:
-    """Train on feature lists and 0/1 labels. Without both classes the score is the class share.
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = 40, least: float = 0.8) -> Model:
+    """Train on features and 0/1 labels. Without both classes the score is the class share.
 
-    Features whose log-count ratio is within ``least`` of 0 would be scaled to almost nothing and
-    are left out.
+    Features whose log-count ratio is within ``least`` of 0 would be scaled to little and are left
+    out. The weights are drawn, slightly, towards the log-count ratios themselves.
     """
     size, n = 1 << BITS, len(rows)
     share = float(np.clip(labels.mean(), 0.001, 0.999)) if n else 0.001
     if n == 0 or labels.min() == labels.max():
         return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    lengths = np.array([len(r) for r in rows])
     yes, no = np.ones(size), np.ones(size)
-    for r, y in zip(rows, labels):
-        (yes if y else no)[r] += 1
-    n1, n0 = labels.sum() + 2, n - labels.sum() + 2
-    ratio = np.log(yes / n1) - np.log(no / n0)
+    for (at, values), y in zip(rows, labels):
+        (yes if y else no)[at] += 20 * values
+    ratio = (np.log(yes / yes.sum()) - np.log(no / no.sum())).astype(np.float32)
     ratio[np.abs(ratio) < least] = 0
-    rows = [r[ratio[r] != 0] for r in rows]
-    of = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
-    flat = np.concatenate(rows).astype(np.int32)
+    rows = [(at[keep], values[keep]) for at, values in rows for keep in (ratio[at] != 0,)]
+    of = np.repeat(np.arange(n, dtype=np.int32), [len(at) for at, _ in rows])
+    flat = np.concatenate([at for at, _ in rows])
+    scaled = np.concatenate([values for _, values in rows]) * ratio[flat]
     del rows
-    scaled = (ratio[flat] / np.sqrt(np.maximum(lengths, 1))[of]).astype(np.float32)
-    # Classes weigh alike in the loss.
-    weight = np.where(labels == 1, 0.5 / labels.sum(), 0.5 / (n - labels.sum()))
     w, b = np.ones(size, np.float32), 0.0
     m, v = np.zeros(size + 1), np.zeros(size + 1)
     for t in range(1, rounds + 1):
         z = b + np.bincount(of, weights=scaled * w[flat], minlength=n)
-        err = (weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)).astype(np.float32)
-        g = np.append(np.bincount(flat, weights=scaled * err[of], minlength=size), err.sum())
+        err = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / n).astype(np.float32)
+        pull = np.bincount(flat, weights=scaled * err[of], minlength=size) + L2 * (w - 1)
+        g = np.append(pull, err.sum())
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
@@ -102,8 +103,13 @@ def _scratch() -> np.ndarray:
 def _train_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = _scratch()
     for batch in batches:
+        found = [features(t, last) for t in batch["text"]]
         yield pd.DataFrame(
-            {"toxic": batch["toxic"], "f": [features(t, last).astype(np.int32).tobytes() for t in batch["text"]]}
+            {
+                "toxic": batch["toxic"],
+                "places": pd.Series([at.tobytes() for at, _ in found], dtype=object),
+                "vals": pd.Series([values.tobytes() for _, values in found], dtype=object),
+            }
         )
 
 
@@ -114,10 +120,10 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, othe
     by_hash = lambda c, n: usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = by_hash(1, toxic_rows).unionByName(by_hash(0, other_rows))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the parameters
-    sent = sample.select("toxic", "text").mapInPandas(_train_rows, "toxic int, f binary")
+    sent = sample.select("toxic", "text").mapInPandas(_train_rows, "toxic int, places binary, vals binary")
     rows, classes = [], []
     for row in sent.toLocalIterator():  # bounded by the parameters
-        rows.append(np.frombuffer(row["f"], np.int32))
+        rows.append((np.frombuffer(row["places"], np.int32), np.frombuffer(row["vals"], np.float32)))
         classes.append(row["toxic"])
     return fit(rows, np.array(classes, dtype=np.int64))
 
