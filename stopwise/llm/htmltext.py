@@ -154,7 +154,8 @@ def describe(page: list[Block], drop: np.random.Generator | None = None) -> np.n
     for i, b in enumerate(page):
         path = b.path if drop is None else [w for w in b.path if drop.random() > 0.2]
         for w in path:
-            x[i, _bucket(w, PATH_DIM)] += 1
+            x[i, _bucket(w, PATH_DIM)] += 1  # two places, so that words that share one differ in the other
+            x[i, _bucket(f"#{w}", PATH_DIM)] += 1
         words = b.text.lower().split()
         found = np.bincount([_bucket(w, WORD_DIM) for w in words], minlength=WORD_DIM)
         x[i, PATH_DIM : PATH_DIM + WORD_DIM] = found / len(words)

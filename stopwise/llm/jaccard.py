@@ -8,9 +8,9 @@ by a T-occurrence search (DivideSkip): inverted lists over the candidates of a q
 merged with a heap, long ones probed by binary search, and documents kept that reach the overlap.
 
 Documents with equal sets are one node. Every node is first checked against the earliest node it
-shares index shingles with; components of these links collapse groups of copies. Then all pairs
-across components that pass the size and position bounds are checked too, so no link between
-components is lost while no group is expanded into its pairs.
+shares enough index shingles with; components of these links collapse groups of copies. Then all
+pairs across components that pass the bounds on sizes, positions and shared index shingles are
+checked too, so no link between components is lost while no group is expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ SKETCH_BITS = 22
 CHUNKS = 256
 #: Candidates that meet their query in one group; a query with more is copied to several groups.
 GROUP = 256
+#: Bits of the filter that picks the texts whose sets are needed; one long in memory for 64.
+FILTER_BITS = 24
 #: Weight of the binary probes against the merge when lists are divided into long and short.
 MU = 0.01
 
@@ -242,9 +244,38 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, tokens) of the wanted (doc) and perhaps of a few more documents.
+
+    The wanted ids become a bit set of fixed size, which the scan of the texts is filtered by: texts
+    are neither shuffled nor sent to Python for nothing. More ids than fit only let more texts pass.
+    """
+    bit = F.pmod(F.xxhash64("doc"), F.lit(1 << FILTER_BITS))
+    words = (
+        wanted.select((bit / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int))").alias("mask"))
+        .groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    )
+    at = docs.select(F.col("doc_id").alias("doc"), "text").withColumn("word", (bit / 64).cast("int"))
+    passed = at.join(F.broadcast(words), "word").filter(  # at most 2^FILTER_BITS / 64 rows
+        F.expr("mask & shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)) <> 0")
+    )
+    return passed.select("text").mapInPandas(_sets, "node long, tokens array<long>")
+
+
 def _compatible(a: str, b: str):
     """Sizes that allow a similarity of 0.8."""
-    return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
+    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+
+
+def _least_shared(a: str, b: str):
+    """Index shingles two linked sets of these sizes have in common at least.
+
+    Of the set whose index ends first in the order, all common shingles up to there are in both
+    indexes, and only what follows its index can be common besides.
+    """
+    need = F.ceil(PERCENT * (F.col(a) + F.col(b)) / (100 + PERCENT))
+    rest = F.ceil(PERCENT * F.greatest(a, b) / 100) - 1
+    return F.greatest(F.lit(1), need - rest)
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -274,31 +305,35 @@ def classes(docs: DataFrame) -> DataFrame:
         .filter("lo < hi").drop("lo", "hi")
     )
     shared = save(shared, f"{root}/shared")
-    known = kept(shared.select("node").distinct().join(nodes, "node"))
-    texts = docs.alias("d").join(known.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc"))).select("text")
-    sets = save(texts.mapInPandas(_sets, "node long, tokens array<long>").dropDuplicates(["node"]), f"{root}/sets")
-
-    # Each node against the earliest one it shares most index shingles with.
-    named = shared.join(known, "node")
-    first = F.min(F.struct(F.col("doc").isNull(), "doc", "node", "n")).over(by_token)
-    leaders = named.withColumn("first", first).filter(F.col("first.node") != F.col("node"))
-    stars = (
-        leaders.filter(100 * F.least("n", "first.n") >= PERCENT * F.greatest("n", "first.n"))
-        .groupBy("node", F.col("first.node").alias("query")).agg(F.count("*").alias("c"))
-        .groupBy("node").agg(F.max_by("query", F.struct("c", "query")).alias("query"))
+
+    # Each node against the earliest node that it shares enough index shingles with.
+    named = shared.join(nodes, "node")
+    first = F.min(F.struct(F.col("doc").isNull(), "doc", "node", "n")).over(by_token).alias("first")
+    leaders = named.select("node", "n", "doc", first).select(
+        "node", "n", "doc", F.col("first.node").alias("query"), F.col("first.n").alias("m"), F.col("first.doc").alias("by")
     )
-    links = kept(verified(stars.select("query", "node"), sets))
+    stars = kept(
+        leaders.filter((F.col("query") != F.col("node")) & _compatible("n", "m"))
+        .groupBy("node", "query", "n", "m", "doc", "by").agg(F.count("*").alias("c"))
+        .filter(F.col("c") >= _least_shared("n", "m"))
+        .groupBy("node", "doc").agg(F.max_by(F.struct("query", "by"), F.struct("c", "query")).alias("q"))
+        .select("q.query", "node", "doc", "q.by")
+    )
+    sets = _sets_of(docs, stars.select(F.explode(F.array("doc", "by")).alias("doc")))
+    links = kept(verified(stars.select("query", "node"), save(sets, f"{root}/star-sets")))
     found = components(links)
 
-    # Then all pairs across components that share an index shingle and can reach the overlap.
+    # Then all pairs across components that share index shingles and can reach the overlap.
     placed = shared.alias("s").join(found.alias("f"), F.col("s.node") == F.col("f.node"), "left").select(
         "s.token", "s.node", "s.n", "s.pos", F.coalesce("f.root", "s.node").alias("root")
     )
-    across = kept(
+    across = save(
         placed.withColumn("lo", F.min("root").over(by_token)).withColumn("hi", F.max("root").over(by_token))
-        .filter("lo < hi").drop("lo", "hi")
+        .filter("lo < hi").drop("lo", "hi"),
+        f"{root}/across",
     )
     x, y = across.alias("x"), across.alias("y")
+    # The first common shingle of a linked pair leaves room for the rest of the overlap behind it.
     room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     pairs = (
         x.join(
@@ -309,9 +344,17 @@ def classes(docs: DataFrame) -> DataFrame:
             & _compatible("x.n", "y.n")
             & (room * (100 + PERCENT) >= PERCENT * (F.col("x.n") + F.col("y.n"))),
         )
-        .select(F.col("x.node").alias("query"), F.col("y.node").alias("node")).distinct()
+        .select(F.col("x.node").alias("query"), F.col("y.node").alias("node"), F.col("x.n").alias("m"), F.col("y.n").alias("n"))
+        .distinct()
+    )
+    one, other = across.select(F.col("node").alias("query"), "token"), across.select("node", "token")
+    enough = kept(
+        pairs.join(one, "query").join(other, ["node", "token"])
+        .groupBy("query", "node", "m", "n").agg(F.count("*").alias("c"))
+        .filter(F.col("c") >= _least_shared("m", "n")).select("query", "node")
     )
-    late = kept(verified(pairs, sets))
+    ends = enough.select(F.explode(F.array("query", "node")).alias("node")).distinct().join(nodes, "node")
+    late = kept(verified(enough, save(_sets_of(docs, ends), f"{root}/late-sets")))
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
 
     linked = joined.join(nodes, "node")
