@@ -8,13 +8,14 @@ from stopwise.functions.columns import (
     round_half_away,
     shifted_hour,
 )
-from stopwise.functions.numbering import number_rows
+from stopwise.functions.numbering import number_rows, number_within
 
 __all__ = [
     "calendar_columns",
     "event_key",
     "local_hour",
     "number_rows",
+    "number_within",
     "on_time_flag",
     "round_half_away",
     "shifted_hour",

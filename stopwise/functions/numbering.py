@@ -1,74 +1,50 @@
-"""Row numbers that do not funnel a large group through one task."""
+"""Row numbers that do not funnel a large table through one task."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from stopwise.storage import ensure_checkpoint_dir
 
-# A group up to this many rows is numbered by a plain window in one task.
-ONE_TASK_ROWS = 1_000_000
-
 _SLICE = "__slice"
 _LOCAL = "__local"
 _BEFORE = "__before"
 
 
-def number_rows(
-    df: DataFrame,
-    name: str,
-    order_by: list[str],
-    within: list[str] | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
-    """Add ``name`` = 1, 2, 3, ... per ``within`` group, in ``order_by`` order (NULLs last).
+def number_rows(df: DataFrame, name: str, order_by: list[str]) -> DataFrame:
+    """Add ``name`` = 1, 2, 3, ... over the whole table, in ``order_by`` order (NULLs last).
 
-    ``order_by`` must be a total order inside a group. The largest group is
-    measured first; beyond ``one_task_rows`` the rows are range-partitioned on
-    (group, order) so that a hot group spreads over many tasks, numbered inside
-    each slice, and shifted by the size of the group's earlier slices.
+    ``order_by`` must be a total order. Rows are range-partitioned on it, numbered inside each
+    slice, and shifted by the sizes of the earlier slices; only these sizes meet in one task. Both
+    readers must see the same slices, so the sliced rows are kept in the checkpoint folder.
     """
-    within = within or []
-    order = [F.col(c).asc_nulls_last() for c in order_by]
-    largest = df.groupBy(*within).count().agg(F.max("count")).first()[0] or 0
-    if largest <= one_task_rows:
-        window = W.partitionBy(*within).orderBy(*order) if within else W.orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
-
     ensure_checkpoint_dir(df.sparkSession)
-    total = df.count()
-    slices = max(2, -(-total // one_task_rows))
-    keys: list[Column] = [F.col(c).asc_nulls_last() for c in within] + order
-    # Both readers below must see the same slices, so the sliced rows are kept.
+    order = [F.col(c).asc_nulls_last() for c in order_by]
     sliced = (
-        df.repartitionByRange(slices, *keys)
-        .withColumn(_SLICE, F.spark_partition_id())
-        .checkpoint()
-    )
-    sizes = sliced.groupBy(_SLICE, *within).count()
-    earlier = W.partitionBy(*within) if within else W.partitionBy(F.lit(0))
-    offsets = sizes.select(
-        _SLICE,
-        *within,
-        F.coalesce(
-            F.sum("count").over(earlier.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias(_BEFORE),
+        df.repartitionByRange(*order).withColumn(_SLICE, F.spark_partition_id()).checkpoint()
     )
-    numbered = sliced.withColumn(
-        _LOCAL, F.row_number().over(W.partitionBy(_SLICE, *within).orderBy(*order))
-    )
-    same = reduce(
-        Column.__and__,
-        [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (_SLICE, *within)],
+    earlier = W.orderBy(_SLICE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        sliced.groupBy(_SLICE)
+        .agg(F.count("*").alias("n"))
+        .select(_SLICE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(_BEFORE))
     )
+    local = F.row_number().over(W.partitionBy(_SLICE).orderBy(*order))
     return (
-        numbered.alias("n")
-        .join(offsets.alias("o"), same)
-        .select("n.*", (F.col(_LOCAL) + F.col(_BEFORE)).cast("bigint").alias(name))
-        .drop(_SLICE, _LOCAL)
+        sliced.withColumn(_LOCAL, local)
+        .join(offsets, _SLICE)
+        .withColumn(name, (F.col(_LOCAL) + F.col(_BEFORE)).cast("bigint"))
+        .drop(_SLICE, _LOCAL, _BEFORE)
     )
+
+
+def number_within(df: DataFrame, name: str, order_by: list[str], within: list[str]) -> DataFrame:
+    """Add ``name`` = 1, 2, 3, ... inside each ``within`` group, whose rows meet in one task.
+
+    For groups that cannot grow with the table, such as the stops of one train on one date.
+    """
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    window = W.partitionBy(*within).orderBy(*order)
+    return df.withColumn(name, F.row_number().over(window).cast("bigint"))

@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.functions import local_hour, number_rows, on_time_flag, shifted_hour
+from stopwise.functions import local_hour, number_within, on_time_flag, shifted_hour
 from stopwise.operators.facts import with_causes_only
 from stopwise.settings import Settings
 from stopwise.storage import save
@@ -360,28 +360,27 @@ def delay_progression(star: Star, train_number: int | None = None) -> DataFrame:
     Positions are counted per date, so a stop missing on one date shifts the
     later ones; ``station_progression`` keys by station instead.
     """
-    stops = with_station_name(_of_train(star, train_number), star).select(
-        "train_number",
-        "date_key",
-        "scheduled_time",
+    stops = _of_train(star, train_number).select(
+        "train_number", "date_key", "scheduled_time", "station_key", "event_key", "delay_minutes",
         F.col("station_short_code").alias("scode"),
-        F.coalesce("station_name", "station_short_code").alias("sname"),
-        "event_key",
-        "delay_minutes",
     )
-    placed = number_rows(
-        stops,
-        "seq",
-        ["scheduled_time", "scode", "event_key"],
-        within=["train_number", "date_key"],
+    placed = number_within(
+        stops, "seq", ["scheduled_time", "scode", "event_key"], ["train_number", "date_key"]
     )
+    # Names are looked up once per train, position and station, not per arrival.
+    per_station = placed.groupBy("train_number", "seq", "station_key", "scode").agg(
+        F.sum("delay_minutes").alias("minutes"),
+        F.count("delay_minutes").alias("known"),
+        F.count("*").alias("stops"),
+    )
+    named = with_station_name(per_station, star)
     return (
-        placed.groupBy("train_number", "seq")
+        named.groupBy("train_number", "seq")
         .agg(
             F.min("scode").alias("scode"),
-            F.min("sname").alias("sname"),
-            F.avg("delay_minutes").alias("avg_delay"),
-            F.count("*").alias("n"),
+            F.min(F.coalesce("station_name", "scode")).alias("sname"),
+            (F.sum("minutes") / F.nullif(F.sum("known"), F.lit(0))).alias("avg_delay"),
+            F.sum("stops").alias("n"),
         )
         .orderBy("train_number", "seq")
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopwise.functions import calendar_columns, number_rows
-from stopwise.storage import ensure_checkpoint_dir
 
 UNKNOWN_KEY = -1
 
@@ -59,11 +58,12 @@ def date(events: DataFrame) -> DataFrame:
 
 def train_type(events: DataFrame) -> DataFrame:
     """DIM-5. One row per observed pair of train type and category."""
-    ensure_checkpoint_dir(events.sparkSession)
-    # Numbering measures its input first; keep the pairs so events are read once.
-    pairs = events.select("train_type", "train_category").distinct().checkpoint()
-    return number_rows(pairs, "train_type_key", ["train_category", "train_type"]).select(
-        "train_type_key",
+    pairs = events.select("train_type", "train_category").distinct()
+    return keyed(train_type_flags(pairs), "train_type_key", ["train_category", "train_type"])
+
+
+def train_type_flags(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
         "train_type",
         "train_category",
         (F.col("train_category") == "Long-distance").alias("is_long_distance"),
@@ -71,6 +71,11 @@ def train_type(events: DataFrame) -> DataFrame:
     )
 
 
+def keyed(rows: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """Rows with a dense key, in the order of ``by``, as their first column."""
+    return number_rows(rows, key, by).select(key, *rows.columns)
+
+
 def cause(cause_codes: DataFrame) -> DataFrame:
     """DIM-6. One row per cause category, keyed in code order, plus the unknown member."""
     keyed = number_rows(cause_codes, "cause_key", ["cause_category_code"]).select(

@@ -135,11 +135,11 @@ def record_state(rows: DataFrame, path: str) -> DataFrame:
 
 
 def current_state(log: DataFrame) -> DataFrame:
-    """ING-1. The latest fetch per date wins."""
-    rest = [c for c in log.columns if c not in ("date", "fetched_at")]
-    latest = F.max_by(F.struct(*rest), F.col("fetched_at")).alias("latest")
-    return log.groupBy("date").agg(F.max("fetched_at").alias("fetched_at"), latest).select(
-        "date", "fetched_at", "latest.*"
+    """ING-1. The latest fetch per date wins; of fetches at one time the one with larger values."""
+    rest = [c for c in log.columns if c != "date"]
+    ordered = ["fetched_at", *[c for c in rest if c != "fetched_at"]]
+    return log.groupBy("date").agg(F.max(F.struct(*ordered)).alias("latest")).select(
+        "date", *[f"latest.{c}" for c in rest]
     )
 
 
@@ -197,6 +197,12 @@ def missing_dates(state: DataFrame, as_of: dt.date) -> DataFrame:
     return spine.join(state.select("date"), "date", "left_anti")
 
 
+def stale(fetched: DataFrame, as_of: dt.datetime, max_age_days: int = 7) -> DataFrame:
+    """ING-7. (file, fetched_at) plus whether a file has reached the allowed age."""
+    limit = wall_clock(as_of) - F.make_dt_interval(F.lit(max_age_days))
+    return fetched.withColumn("is_stale", F.col("fetched_at") <= limit)
+
+
 def stale_metadata(
     spark: SparkSession, path: str, as_of: dt.datetime, max_age_days: int = 7
 ) -> DataFrame:

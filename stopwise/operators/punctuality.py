@@ -76,3 +76,8 @@ def pooled_punctuality(punctuality: DataFrame, *by: str) -> DataFrame:
     )
     rate = F.col("on_time_events") / F.nullif(F.col("measured_arrivals"), F.lit(0))
     return sums.withColumn("on_time_rate", round_half_away(rate, 4))
+
+
+def service_days(events: DataFrame) -> DataFrame:
+    """Service days that occur in each landed day: one row for most days."""
+    return events.select("date_key", "source_ingest_date").distinct()

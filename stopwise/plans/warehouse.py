@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stopwise.operators import dimensions, facts, punctuality, staging
+from stopwise.operators.ingest import accepted_documents
 from stopwise.settings import Settings
 from stopwise.storage import gathered, save
 
 
-# Key and code of this many rows stay below the default broadcast threshold.
-BROADCAST_SIZED_ROWS = 100_000
-
-
 @dataclass(frozen=True)
 class Sources:
     """Raw inputs, as landed."""
@@ -42,6 +39,7 @@ class Warehouse:
         "fct_timetable_events",
         "fct_delay_causes",
         "agg_station_punctuality",
+        "service_days",
     )
 
     def __init__(self, sources: Sources, root: str, settings: Settings = Settings()):
@@ -59,6 +57,8 @@ class Warehouse:
         """Read every table as it is stored now, without building it."""
         for name in self.TABLES:
             self.__dict__[name] = self.spark.read.parquet(self.path(name))
+        for name in [n for n in self.__dict__ if n.startswith("stg_") or n == "headers"]:
+            del self.__dict__[name]  # derived from the documents, which may have changed
 
     @property
     def spark(self) -> SparkSession:
@@ -67,6 +67,17 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def store_documents(self, state: DataFrame | None = None) -> None:
+        """Parse the landed documents once: from here on they are a Parquet table by date.
+
+        With ``state``, only documents of its dates, the accepted ones, are taken.
+        """
+        taken = self.sources.documents
+        if state is not None:
+            taken = accepted_documents(taken, state)
+        table = self._table("documents", gathered(taken, "date"), "date")
+        self.sources = replace(self.sources, documents=table)
+
     def _table(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         return save(df, self.path(name), partition_by)
 
@@ -120,10 +131,10 @@ class Warehouse:
         fact = facts.timetable_events(
             self.stg_timetable_events, self.dim_station, self.dim_train_type, self.dim_date
         )
-        if self.dim_station.count() > BROADCAST_SIZED_ROWS:
-            # The station lookup is then a shuffle join, which scatters dates.
-            fact = gathered(fact, "source_ingest_date")
-        return self._table("fct_timetable_events", fact, "source_ingest_date")
+        # Lookups that shuffle scatter dates over tasks.
+        return self._table(
+            "fct_timetable_events", gathered(fact, "source_ingest_date"), "source_ingest_date"
+        )
 
     @cached_property
     def fct_delay_causes(self) -> DataFrame:
@@ -139,3 +150,9 @@ class Warehouse:
     def agg_station_punctuality(self) -> DataFrame:
         agg = punctuality.station_punctuality(self.fct_timetable_events, self.settings)
         return self._table("agg_station_punctuality", gathered(agg, "date_key"), "date_key")
+
+    @cached_property
+    def service_days(self) -> DataFrame:
+        """Which service days the events of each landed day belong to."""
+        days = punctuality.service_days(self.fct_timetable_events)
+        return self._table("service_days", gathered(days, "source_ingest_date"), "source_ingest_date")

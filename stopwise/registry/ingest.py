@@ -13,15 +13,19 @@ from stopwise.plans.refresh import refresh_days, replace_documents
 from stopwise.plans.warehouse import Sources, Warehouse
 from stopwise.registry.sample import Sample
 from stopwise.registry.sql import over
+from stopwise.sources import documents as src
 from stopwise.sources import sample_tables as bind
 from stopwise.storage import save
 from stopwise.streaming.new_days import read_new_documents, stage_new_days
 
 # The day the catch-up queries run on; given events end on 2024-01-30.
 AS_OF = dt.date(2024, 2, 10)
+# Seven days after this moment a day's fetch turns stale, to the second.
+STALE_AS_OF = dt.datetime(2024, 2, 3)
 
-# Re-fetched days, and by how much their delays settle.
-REFETCHED = (dt.date(2024, 1, 8), dt.date(2024, 1, 9))
+# Re-fetched days: delays settle by some minutes, causes are withdrawn, all is gone, arrivals are.
+SETTLED, NO_CAUSES, EMPTIED, NO_ARRIVALS = (dt.date(2024, 1, d) for d in (8, 9, 10, 11))
+REFETCHED = (SETTLED, NO_CAUSES, EMPTIED, NO_ARRIVALS)
 SETTLED_MINUTES = 2
 
 
@@ -54,12 +58,18 @@ def _loaded_dates(s: Sample) -> DataFrame:
     )
 
 
-def _settled(documents: DataFrame) -> DataFrame:
-    rows = F.transform(
-        "timeTableRows",
+def _fetched_again(documents: DataFrame) -> DataFrame:
+    day, rows = F.col("date"), F.col("timeTableRows")
+    settled = F.transform(
+        rows,
         lambda r: r.withField("differenceInMinutes", r["differenceInMinutes"] + SETTLED_MINUTES),
     )
-    return documents.filter(F.col("date").isin(*REFETCHED)).withColumn("timeTableRows", rows)
+    bare = F.transform(rows, lambda r: r.withField("causes", F.slice(r["causes"], 1, 0)))
+    leaving = F.filter(rows, lambda r: r["type"] != "ARRIVAL")
+    again = (
+        F.when(day == SETTLED, settled).when(day == NO_CAUSES, bare).when(day == NO_ARRIVALS, leaving)
+    )
+    return documents.filter(day.isin(*REFETCHED) & (day != EMPTIED)).withColumn("timeTableRows", again)
 
 
 def _copy_of_documents(s: Sample, root: str) -> DataFrame:
@@ -67,7 +77,7 @@ def _copy_of_documents(s: Sample, root: str) -> DataFrame:
 
 
 def _refetch(s: Sample) -> DataFrame:
-    """Re-fetched days replace their partitions; counts and other days stay."""
+    """Re-fetched days replace theirs in all three tables; other days stay."""
     root = s.scratch("refetch")
     documents = _copy_of_documents(s, root)
     sources = Sources(
@@ -78,9 +88,11 @@ def _refetch(s: Sample) -> DataFrame:
     )
     warehouse = Warehouse(sources, f"{root}/warehouse", s.settings)
     warehouse.fct_delay_causes, warehouse.agg_station_punctuality  # noqa: B018 - built here
-    landed = replace_documents(_settled(s.documents), f"{root}/documents")
-    if not refresh_days(warehouse, landed, list(REFETCHED)):
-        raise RuntimeError("the re-fetched days hold a new train type")
+    warehouse.service_days  # noqa: B018 - built here
+    landed = replace_documents(
+        _fetched_again(s.documents), f"{root}/documents", list(REFETCHED)
+    )
+    refresh_days(warehouse, landed, list(REFETCHED))
     events = warehouse.fct_timetable_events.groupBy("source_ingest_date").agg(
         F.count("*").alias("events"), F.sum("delay_minutes").alias("minutes")
     )
@@ -97,12 +109,11 @@ def _refetch(s: Sample) -> DataFrame:
 
 
 def _stale(s: Sample) -> DataFrame:
-    tables = [f"{s.sf_dir}/{t}.parquet" for t in ("supplier", "part")]
-    later = dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
-    earlier = dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)
-    old = ingest.stale_metadata(s.spark, tables, later)
-    new = ingest.stale_metadata(s.spark, tables, earlier)
-    return old.withColumn("as_of", F.lit(2100)).unionByName(new.withColumn("as_of", F.lit(2000)))
+    """Age of each user's last fetch against the allowed age, the boundary second included."""
+    fetched = s.given("events").groupBy(F.col("user_id").alias("file")).agg(
+        F.max(F.date_trunc("day", "ts")).cast("timestamp_ntz").alias("fetched_at")
+    )
+    return ingest.stale(fetched, STALE_AS_OF, s.settings.metadata_max_age_days)
 
 
 def _run_log(s: Sample) -> DataFrame:
@@ -134,6 +145,45 @@ def _stream(s: Sample) -> DataFrame:
     )
 
 
+def _accepted_build(s: Sample) -> DataFrame:
+    """A build over the spoiled landing: only accepted days reach the tables, day by day."""
+    given = s.warehouse.sources
+    landed = Sources(
+        src.read_documents(s.spark, s.faulty_json_root),
+        given.stations, given.cause_codes, given.detailed_cause_codes,
+    )
+    warehouse = Warehouse(landed, s.scratch("accepted"), s.settings)
+    try:
+        build(warehouse, s.state)
+    except BuildFailed as stopped:
+        return result_rows(s.spark, stopped.failures)
+    causes = warehouse.fct_delay_causes.groupBy("source_ingest_date").agg(
+        F.count("*").alias("causes")
+    )
+    return (
+        warehouse.fct_timetable_events.groupBy("source_ingest_date")
+        .agg(F.count("*").alias("events"), F.sum("cause_count").alias("listed"))
+        .join(causes, "source_ingest_date", "left")
+    )
+
+
+def _rebuilt(s: Sample) -> DataFrame:
+    """A second full build into a used root, after a day has left the documents."""
+    root = s.scratch("rebuilt")
+    given = s.warehouse.sources
+    sources = Sources(s.documents, given.stations, given.cause_codes, given.detailed_cause_codes)
+    build(Warehouse(sources, f"{root}/warehouse", s.settings))
+    left = Sources(
+        s.documents.filter(F.col("date") != EMPTIED),
+        given.stations, given.cause_codes, given.detailed_cause_codes,
+    )
+    again = Warehouse(left, f"{root}/warehouse", s.settings)
+    build(again)
+    return (
+        again.fct_timetable_events.groupBy("source_ingest_date").agg(F.count("*").alias("events"))
+    )
+
+
 def _build(s: Sample) -> DataFrame:
     """A fresh build: check outcomes, and the rows of its last table if it got there."""
     warehouse = Warehouse(s.warehouse.sources, s.scratch("build"), s.settings)
@@ -161,6 +211,8 @@ QUERIES = {
     "ing_9_run_log": _run_log,
     "ing_10_new_days_stream": _stream,
     "ing_11_build": _build,
+    "ing_11_build_of_accepted_days": _accepted_build,
+    "ing_11_second_full_build": _rebuilt,
 }
 
 _OUTCOMES = """
@@ -229,19 +281,27 @@ ORACLES = {
     "ing_6_refetched_days": over(
         f"""
         SELECT source_ingest_date, count(*) AS events, CAST(sum(delay) AS BIGINT) AS minutes,
-               CAST(nullif(sum(cause_count), 0) AS BIGINT) AS causes,
+               CAST(nullif(sum(cause_count) FILTER (WHERE source_ingest_date <> '{NO_CAUSES}'), 0)
+                    AS BIGINT) AS causes,
                CAST(sum(CAST(ok AND (delay IS NULL OR delay BETWEEN -60 AND 1440) AS INTEGER))
                     FILTER (WHERE arrived) AS BIGINT) AS measured,
                max(delay) FILTER (WHERE ok AND arrived AND delay BETWEEN -60 AND 1440) AS worst
         FROM (SELECT *, event_type = 'ARRIVAL' AND is_commercial_stop AS arrived,
                      has_actual_time AND NOT is_cancelled AS ok,
                      delay_minutes
-                       + CASE WHEN source_ingest_date IN ('{REFETCHED[0]}', '{REFETCHED[1]}')
+                       + CASE WHEN source_ingest_date = '{SETTLED}'
                               THEN {SETTLED_MINUTES} ELSE 0 END AS delay
-              FROM stg)
+              FROM stg
+              WHERE source_ingest_date <> '{EMPTIED}'
+                AND NOT (source_ingest_date = '{NO_ARRIVALS}' AND event_type = 'ARRIVAL'))
         GROUP BY 1
         """
     ),
+    "ing_7_stale_metadata": """
+        SELECT user_id AS file, date_trunc('day', max(ts)) AS fetched_at,
+               date_trunc('day', max(ts)) <= TIMESTAMP '2024-02-03' - INTERVAL 7 DAY AS is_stale
+        FROM events GROUP BY user_id
+    """,
     "ing_8_outcome_summary": over(
         """
         SELECT status, count(*) AS dates,
@@ -268,6 +328,20 @@ ORACLES = {
         FROM stg GROUP BY 1
         """
     ),
+    "ing_11_build_of_accepted_days": over(
+        """
+        SELECT source_ingest_date, count(*) AS events, CAST(sum(cause_count) AS BIGINT) AS listed,
+               CAST(nullif(sum(cause_count), 0) AS BIGINT) AS causes
+        FROM stg WHERE source_ingest_date IN (SELECT date FROM state) GROUP BY 1
+        """,
+        _OUTCOMES,
+    ),
+    "ing_11_second_full_build": over(
+        f"""
+        SELECT source_ingest_date, count(*) AS events FROM stg
+        WHERE source_ingest_date <> '{EMPTIED}' GROUP BY 1
+        """
+    ),
     "ing_11_build": over(
         """
         SELECT 'pass' AS status, CAST(44 AS BIGINT) AS n

@@ -130,7 +130,9 @@ class Sample:
     @cached_property
     def _cause_codes_root(self) -> str:
         root = f"{self.root}/metadata/cause_codes"
-        src.land_metadata(self.warehouse.sources.cause_codes, root, F.lit(0))
+        src.land_metadata(
+            self.warehouse.sources.cause_codes, root, F.pmod(F.xxhash64("categoryCode"), F.lit(4))
+        )
         return root
 
     @cached_property

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stopwise import schemas
-from stopwise.functions import number_rows
+from stopwise.functions import number_rows, number_within
 from stopwise.operators import dimensions, profiling, staging
 from stopwise.plans.reports import findings, write_report
 from stopwise.registry.sample import Sample
@@ -153,22 +153,13 @@ def _causes_without_partition(s: Sample) -> DataFrame:
 
 
 def _ranged_keys(s: Sample) -> DataFrame:
-    """Forces the range-partitioned numbering whatever the size of the table."""
     customers = s.given("customer").select("c_custkey", "c_name", "c_mktsegment")
-    return number_rows(
-        customers, "customer_key", ["c_mktsegment", "c_name", "c_custkey"], one_task_rows=400
-    )
+    return number_rows(customers, "customer_key", ["c_mktsegment", "c_name", "c_custkey"])
 
 
 def _ranged_positions(s: Sample) -> DataFrame:
     orders = s.given("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return number_rows(
-        orders,
-        "position",
-        ["o_orderdate", "o_orderkey"],
-        within=["o_orderstatus"],
-        one_task_rows=2000,
-    )
+    return number_within(orders, "position", ["o_orderdate", "o_orderkey"], ["o_orderstatus"])
 
 
 def _members(s: Sample) -> DataFrame:

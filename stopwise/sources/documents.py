@@ -93,31 +93,20 @@ def register_views(
 
 def first_trains(documents: DataFrame, n: int = 3) -> DataFrame:
     """SRC-10. The first trains by date and number, without the nested column."""
-    doc = with_ingest_date(_first_dates(documents, n)).drop("timeTableRows")
-    return doc.orderBy("ingest_date", "trainNumber", *_tiebreak(doc)).limit(n)
+    doc = with_ingest_date(documents).drop("timeTableRows")
+    return doc.orderBy(*_order(doc)).limit(n)
 
 
 def first_full_record(documents: DataFrame) -> DataFrame:
     """SRC-11. One whole document with its nested rows."""
-    doc = with_ingest_date(_first_dates(documents, 1))
-    return doc.orderBy("ingest_date", "trainNumber", *_tiebreak(doc)).limit(1)
-
-
-def _first_dates(documents: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` landed dates: enough to hold the first ``n`` documents.
-
-    Reads no column to find them, and lets the scan skip all other folders.
-    """
-    if "date" not in documents.columns:
-        return documents
-    dates = documents.select("date").distinct().orderBy("date").limit(n).collect()
-    return documents.filter(F.col("date").isin([d["date"] for d in dates]))
+    doc = with_ingest_date(documents)
+    return doc.orderBy(*_order(doc)).limit(1)
 
 
-def _tiebreak(doc: DataFrame) -> list[Column]:
-    """Order documents of the same train and date by their remaining columns."""
-    rest = [c for c in doc.columns if c not in ("ingest_date", "trainNumber")]
-    return [F.col(c).asc_nulls_last() for c in rest]
+def _order(doc: DataFrame) -> list[Column]:
+    """By date and train, documents of both alike by their remaining columns; unknown dates last."""
+    first = ["ingest_date", "trainNumber"]
+    return [F.col(c).asc_nulls_last() for c in first + [c for c in doc.columns if c not in first]]
 
 
 def write_landing(arrays: DataFrame, root: str) -> None:

@@ -2,29 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, read from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    A session without that setting uses a folder of its warehouse, which is shared as well.
     """
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="stopwise-")
-    return _local_dirs[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_derived"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -33,8 +26,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_dir(spark))
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new folder for derived tables; it is deleted when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    files, at = _file_system(spark, path)
+    files.mkdirs(at)
+    files.deleteOnExit(at)
+    return path
 
 
 def gathered(df: DataFrame, column: str) -> DataFrame:
@@ -47,16 +50,37 @@ def gathered(df: DataFrame, column: str) -> DataFrame:
     return df.hint("rebalance", column)
 
 
+def stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A reader over a table written from ``like``, which may hold no row and so no file."""
+    return spark.read.schema(like.schema).parquet(path)
+
+
 def save(
     df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite"
 ) -> DataFrame:
-    """Write ``df`` as Parquet and return a reader over it.
-
-    With ``partition_by``, ``mode="overwrite"`` replaces only the partitions that
-    occur in ``df``, so one service date can be replaced on its own (ING-6).
-    """
+    """Write ``df`` as the whole table at ``path`` (or append to it) and return a reader over it."""
     writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "static")
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return stored(df.sparkSession, path, df)
+
+
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: str, values: list[object]
+) -> DataFrame:
+    """Replace exactly the partitions of ``values`` (ING-6); other partitions stay untouched.
+
+    Partitions that ``df`` has no row for are removed, so nothing of a replaced one is left.
+    """
+    spark = df.sparkSession
+    rows = df.filter(df[partition_by].isin(*values))
+    rows.write.mode("overwrite").partitionBy(partition_by).option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+    after = stored(spark, path, df)
+    kept = rows.select(partition_by).distinct().collect()  # at most one row per value
+    for value in set(values) - {r[partition_by] for r in kept}:
+        files, at = _file_system(spark, f"{path}/{partition_by}={value}")
+        files.delete(at, True)
+    return stored(spark, path, after)

@@ -138,3 +138,23 @@ def test_the_stream_stages_each_landed_file_once(spark, tmp_path):
     land(landing, "2024-03-12", days()["2024-03-12"])
     staged = run()
     assert staged.count() == 14 == staged.select("event_key").distinct().count()
+
+
+def test_of_two_fetches_at_one_time_the_same_one_wins(spark):
+    from stopwise.operators.ingest import current_state
+
+    rows = [("2024-01-01", "t", 1), ("2024-01-01", "t", 2)]
+    for order in (rows, rows[::-1]):
+        log = spark.createDataFrame(order, "date string, fetched_at string, num_trains int")
+        assert [tuple(r) for r in current_state(log).collect()] == [("2024-01-01", "t", 2)]
+
+
+def test_documents_of_an_unknown_date_come_last(spark):
+    from stopwise.sources.documents import first_full_record, first_trains
+
+    docs = spark.createDataFrame(
+        [(None, 1, []), ("2024-01-02", 5, []), ("2024-01-01", 9, [])],
+        "date string, trainNumber int, timeTableRows array<int>",
+    )
+    assert [r["trainNumber"] for r in first_trains(docs, 3).collect()] == [9, 5, 1]
+    assert first_full_record(docs.filter("date is null")).count() == 1

@@ -4,7 +4,7 @@ import pytest
 from conftest import days, land, row, sources_of, train
 from pyspark.sql import functions as F
 from stopwise import Settings
-from stopwise.functions import number_rows
+from stopwise.functions import number_rows, number_within
 from stopwise.operators import punctuality, quality
 from stopwise.plans.build import BuildFailed, build
 from stopwise.plans.checks import declared_checks, violations
@@ -218,12 +218,71 @@ def test_a_new_day_extends_calendar_and_facts(spark, tmp_path, landing):
     assert warehouse.fct_timetable_events.filter("date_key is null").isEmpty()
 
 
-def test_a_new_train_type_asks_for_a_full_build(spark, tmp_path, landing):
+def test_a_new_train_type_gets_the_next_key(spark, tmp_path, landing):
     path, warehouse = _refreshable(spark, tmp_path, landing)
+    old = {r["train_type_key"]: r["train_type"] for r in warehouse.dim_train_type.collect()}
     other = days()["2024-03-12"]
-    other[0]["trainType"] = "S"
+    other[0]["trainType"] = "ZZ"
     landed = replace_documents(_refetched(spark, tmp_path, other), path)
-    assert not refresh_days(warehouse, landed, [dt.date(2024, 3, 12)])
+    assert refresh_days(warehouse, landed, [dt.date(2024, 3, 12)])
+    new = {r["train_type_key"]: r["train_type"] for r in warehouse.dim_train_type.collect()}
+    assert new == {**old, max(old) + 1: "ZZ"}
+    number = other[0]["trainNumber"]
+    moved = warehouse.fct_timetable_events.filter(f"date_key = 20240312 and train_number = {number}")
+    assert {r["train_type_key"] for r in moved.collect()} == {max(old) + 1}
+
+
+def test_nothing_of_a_refetched_day_stays_behind(spark, tmp_path, landing):
+    path, warehouse = _refreshable(spark, tmp_path, landing)
+    day = dt.date(2024, 3, 12)
+    bare = days()["2024-03-12"]
+    for t in bare:
+        for r in t["timeTableRows"]:
+            r["causes"] = []
+    landed = replace_documents(_refetched(spark, tmp_path, bare), path)
+    refresh_days(warehouse, landed, [day])
+    on_day = F.col("source_ingest_date") == day
+    assert warehouse.fct_delay_causes.filter(on_day).isEmpty()
+    assert not warehouse.fct_timetable_events.filter(on_day).isEmpty()
+
+    nothing = landed.limit(0)
+    landed = replace_documents(nothing, path, [day])
+    refresh_days(warehouse, landed, [day])
+    assert warehouse.fct_timetable_events.filter(on_day).isEmpty()
+    assert warehouse.agg_station_punctuality.filter("date_key = 20240312").isEmpty()
+
+
+def test_a_refresh_reads_only_the_partitions_it_needs(spark, tmp_path, landing):
+    path, warehouse = _refreshable(spark, tmp_path, landing)
+    in_days = F.col("source_ingest_date").isin(dt.date(2024, 3, 12)) & F.col("date_key").isin(20240312)
+    plan = warehouse.fct_timetable_events.filter(in_days)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [source_ingest_date" in plan
+
+
+def test_a_full_build_leaves_nothing_of_an_earlier_one(spark, tmp_path, landing):
+    path, warehouse = _refreshable(spark, tmp_path, landing)
+    left = warehouse.sources.documents.filter("date <> '2024-03-12'")
+    kept = type(warehouse.sources)(
+        left, warehouse.sources.stations, warehouse.sources.cause_codes,
+        warehouse.sources.detailed_cause_codes,
+    )
+    again = Warehouse(kept, warehouse.root + "-2", LENIENT)
+    build(again)
+    in_place = Warehouse(again.sources, warehouse.root, LENIENT)
+    for name in ("fct_timetable_events", "fct_delay_causes", "agg_station_punctuality"):
+        assert getattr(in_place, name).exceptAll(getattr(again, name)).isEmpty()
+
+
+def test_a_build_without_any_cause(spark, tmp_path, landing):
+    documents = sources_of(spark, landing)
+    rows = F.transform("timeTableRows", lambda r: r.withField("causes", F.slice(r["causes"], 1, 0)))
+    bare = type(documents)(
+        documents.documents.withColumn("timeTableRows", rows), documents.stations,
+        documents.cause_codes, documents.detailed_cause_codes,
+    )
+    warehouse = Warehouse(bare, str(tmp_path / "bare"), LENIENT)
+    build(warehouse)
+    assert warehouse.fct_delay_causes.isEmpty()
 
 
 def test_a_built_warehouse_can_be_opened_again(spark, warehouse):
@@ -233,14 +292,12 @@ def test_a_built_warehouse_can_be_opened_again(spark, warehouse):
     assert again.fct_timetable_events.count() == warehouse.fct_timetable_events.count()
 
 
-@pytest.mark.parametrize("within", [None, ["g"]])
-def test_ranged_numbering_equals_the_window(spark, within):
+def test_numbering_equals_the_window(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 != 0, "x").alias("g"),
         F.when(F.col("id") % 11 != 0, (F.col("id") * 7919) % 4000).alias("v"),
         "id",
     )
-    order = ["v", "id"]
-    plain = number_rows(df, "n", order, within)
-    ranged = number_rows(df, "n", order, within, one_task_rows=200)
+    plain = number_within(df.withColumn("all", F.lit(1)), "n", ["v", "id"], ["all"])
+    ranged = number_rows(df, "n", ["v", "id"])
     assert sorted(plain.select("id", "n").collect()) == sorted(ranged.select("id", "n").collect())
