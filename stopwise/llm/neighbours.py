@@ -158,7 +158,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     members = kept(ids.groupBy("vkey").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
     distinct = kept(rows.groupBy("vkey").agg(F.first("vec").alias("vec"), F.max(is_query.cast("int")).alias("asked")))
 
-    top = distinct.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("m"), F.count("*").alias("n")).first()
+    top = distinct.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)).alias("m"), F.count("*").alias("n"), F.sum("asked").alias("asked")).first()
     if not top["n"]:
         empty = "query_id long, rank int, vec_id long, score double"
         return spark.createDataFrame([], empty)
@@ -178,7 +178,10 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
                         yield pd.DataFrame({"curve": c, "key": key, "vkey": b["vkey"].to_numpy()[part], "query": flag})
 
     points = distinct.mapInPandas(place_all, "curve int, key long, vkey long, query int")
-    placed = kept(number_rows(points, "place", ["key", "vkey", "query"], within=["curve"]))
+    # All curves are numbered at once; each has as many points as the others.
+    placed = number_rows(points, "__row", ["curve", "key", "vkey", "query"])
+    size = top["n"] + top["asked"]
+    placed = kept(placed.withColumn("place", F.col("__row") - 1 - F.col("curve") * size).drop("__row"))
 
     reach = _fitted_reach(distinct, placed, k)
     block = int(min(max(reach, 256), BLOCK))
