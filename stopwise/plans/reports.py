@@ -14,10 +14,11 @@ from stopwise.plans.warehouse import Warehouse
 from stopwise.storage import fresh_dir, save
 
 
-def findings(warehouse: Warehouse) -> dict[str, DataFrame]:
+def findings(warehouse: Warehouse, stop: str = "") -> dict[str, DataFrame]:
     """Answers to the analysis questions, by name.
 
-    Seventeen of them share one population, which is written once.
+    Most of them share one population, which is written once. ``stop`` is the station whose
+    size the progression extremes report.
     """
     settings = warehouse.settings
     star = Star.of(warehouse).with_stored_base(fresh_dir(warehouse.spark, "arrivals"))
@@ -30,13 +31,17 @@ def findings(warehouse: Warehouse) -> dict[str, DataFrame]:
         "ranking_extremes": ana.ranking_extremes(star, settings),
         "stations_below_floor": ana.stations_below_floor(star, settings),
         "delay_by_hour": ana.by_fixed_offset_hour(star, settings),
+        "distinct_stations": ana.distinct_stations(star),
         "hour_extremes": ana.hour_extremes(star, settings),
         "causes": ana.causes(star),
         "causes_equal_split": ana.causes_equal_split(star),
         "top_causes": ana.top_causes(star),
+        "coded_events": ana.coded_events(star),
         "delay_by_local_hour": ana.by_zone_hour(star, settings),
         "train_categories": ana.by_category(star, settings),
+        "all_train_categories": ana.by_category(star, settings, floor=-1),
         "delay_progression": ana.delay_progression(star),
+        "progression_extremes": ana.progression_extremes(ana.delay_progression(star), stop),
         "station_progression": ana.station_progression(star),
         "daily_trend": ana.daily_trend(star, settings),
         "weekday_weekend": ana.weekday_weekend(star, settings),
@@ -56,6 +61,7 @@ def profile(warehouse: Warehouse) -> dict[str, DataFrame]:
     """The raw-layer profile, by name."""
     trains = prf.raw_trains(warehouse.sources.documents)
     events = prf.raw_events(trains)
+    settings, last = warehouse.settings, prf.last_day(warehouse.sources.documents)
     return {
         "scope": prf.scope(trains),
         "trains_per_day": prf.trains_per_day(trains),
@@ -63,6 +69,19 @@ def profile(warehouse: Warehouse) -> dict[str, DataFrame]:
         "duplicate_trains": prf.duplicate_train_count(trains),
         "duplicate_train_samples": prf.duplicate_train_samples(trains),
         "missing_actual": prf.missing_actual_count(events),
+        "missing_actual_breakdown": prf.missing_actual_breakdown(events, last),
+        "unexplained_missing_actual": prf.unexplained_missing_actual(
+            warehouse.stg_timetable_events, last
+        ),
+        "delay_without_actual": prf.delay_without_actual(events),
+        "cause_codes": prf.cause_code_frequency(warehouse.stg_delay_causes),
+        "late_events_with_cause": prf.late_events_with_cause(events, settings),
+        "relation_counts": prf.relation_counts(
+            {name: getattr(warehouse, name) for name in warehouse.TABLES[:-1]}
+        ),
+        "unknown_members": prf.unknown_member_rows(
+            warehouse.fct_timetable_events, warehouse.fct_delay_causes
+        ),
         "delay_distribution": prf.delay_distribution(events).select("stats.*"),
         "missing_delay": prf.missing_delay_count(events),
         "extreme_delays": prf.extreme_delays(events),

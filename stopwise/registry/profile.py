@@ -94,7 +94,10 @@ dup AS (
 
 _QUANTILES = ", ".join(
     f"round(quantile_cont(difference_in_minutes, {p}), 6) AS {name}"
-    for name, p in prf.QUANTILES.items()
+    for name, p in {
+        "p01": 0.01, "p05": 0.05, "p25": 0.25, "median": 0.5,
+        "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99,
+    }.items()
 )
 
 _EXTREME = """departure_date, train_number, train_type, station_short_code, event_type,

@@ -109,9 +109,23 @@ cause_totals AS (
 )
 """
 
-_LABELS = "labels(code, label) AS (VALUES " + ", ".join(
-    f"('{code}', '{label}')" for code, label in ana.CAUSE_LABELS.items()
-) + ")"
+# The labels the answer shows.
+_LABELS = """labels(code, label) AS (VALUES
+    ('A', 'Timetabling & operations'),
+    ('E', 'Running ahead of schedule'),
+    ('H', 'Management / administration'),
+    ('I', 'Other causes'),
+    ('J', 'Delayed train formation'),
+    ('K', 'Rolling stock (multiple units & coaches)'),
+    ('L', 'Traffic control / dispatching'),
+    ('M', 'Passenger services'),
+    ('O', 'Accident or incident'),
+    ('P', 'Traffic management systems'),
+    ('R', 'Trackwork / engineering possessions'),
+    ('S', 'Electrification (OLE)'),
+    ('T', 'Track & infrastructure'),
+    ('V', 'Traction stock (locomotives)'))
+"""
 
 _STOPS = """
 stops AS (

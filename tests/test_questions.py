@@ -200,3 +200,8 @@ def test_reports_are_written_as_tables(spark, warehouse):
     assert found["network_totals"].first()["n"] == len(_base())
     assert profiled["scope"].first()["trains"] == 5
     assert spark.read.parquet(f"{root}/findings/causes").agg(F.sum("freq")).first()[0] == 3
+    assert len(found) == 29 and len(profiled) == 22
+    # What was written is what the questions answer, value by value.
+    for name, answer in {**findings(warehouse), **profile(warehouse)}.items():
+        table = {**found, **profiled}[name]
+        assert sorted(map(repr, table.collect())) == sorted(map(repr, answer.collect())), name
