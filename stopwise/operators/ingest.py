@@ -33,6 +33,11 @@ def _files(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFr
     return _on_days(listed, days)
 
 
+def landed_dates(spark: SparkSession, root: str) -> DataFrame:
+    """Dates that have a landed file; file contents are not read."""
+    return _files(spark, root, None).select("date").distinct()
+
+
 def _parsed(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
     """Documents and unparsable bodies per file."""
     schema = T.StructType(

@@ -67,6 +67,10 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def take(self, documents: DataFrame) -> None:
+        """Use these documents from here on."""
+        self.sources = replace(self.sources, documents=documents)
+
     def store_documents(self, state: DataFrame | None = None) -> None:
         """Parse the landed documents once: from here on they are a Parquet table by date.
 
@@ -75,8 +79,7 @@ class Warehouse:
         taken = self.sources.documents
         if state is not None:
             taken = accepted_documents(taken, state)
-        table = self._table("documents", gathered(taken, "date"), "date")
-        self.sources = replace(self.sources, documents=table)
+        self.take(self._table("documents", gathered(taken, "date"), "date"))
 
     def _table(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         return save(df, self.path(name), partition_by)

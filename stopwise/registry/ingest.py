@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stopwise.operators import ingest
 from stopwise.plans.build import BuildFailed, build, result_rows
+from stopwise.plans.daily import daily_run
 from stopwise.plans.refresh import refresh_days, replace_documents
 from stopwise.plans.warehouse import Sources, Warehouse
 from stopwise.registry.sample import Sample
@@ -20,6 +21,7 @@ from stopwise.streaming.new_days import read_new_documents, stage_new_days
 
 # The day the catch-up queries run on; given events end on 2024-01-30.
 AS_OF = dt.date(2024, 2, 10)
+MIDWAY = dt.date(2024, 1, 16)
 # Seven days after this moment a day's fetch turns stale, to the second.
 STALE_AS_OF = dt.datetime(2024, 2, 3)
 
@@ -197,6 +199,17 @@ def _build(s: Sample) -> DataFrame:
     return checks.unionByName(tables.withColumn("status", F.lit("aggregate rows")))
 
 
+def _daily_runs(s: Sample) -> DataFrame:
+    """Three runs over the spoiled landing: a build, a refresh, and one with nothing new."""
+    root = s.scratch("daily")
+    warehouse = Warehouse(s.warehouse.sources, f"{root}/warehouse", s.settings)
+    for day, as_of in ((16, MIDWAY), (17, AS_OF), (18, AS_OF)):
+        log = daily_run(
+            warehouse, s.faulty_json_root, root, dt.datetime(2024, 2, day, 6, 30), as_of
+        )
+    return log
+
+
 QUERIES = {
     "ing_1_current_state": _state_log,
     "ing_2_validate_landing": _validation,
@@ -209,6 +222,7 @@ QUERIES = {
     "ing_7_stale_metadata": _stale,
     "ing_8_outcome_summary": lambda s: ingest.outcome_summary(s.outcomes),
     "ing_9_run_log": _run_log,
+    "ing_9_daily_runs": _daily_runs,
     "ing_10_new_days_stream": _stream,
     "ing_11_build": _build,
     "ing_11_build_of_accepted_days": _accepted_build,
@@ -328,6 +342,22 @@ ORACLES = {
         FROM stg GROUP BY 1
         """
     ),
+    "ing_9_daily_runs": over(
+        f"""
+        SELECT run_at, (SELECT count(*) FROM state WHERE date < upto AND date >= since) AS dates,
+               (SELECT max(date) FROM state WHERE date < upto) AS watermark,
+               (SELECT count(*) FROM stg WHERE source_ingest_date < upto
+                AND source_ingest_date IN (SELECT date FROM state)) AS event_rows,
+               (SELECT CAST(sum(cause_count) AS BIGINT) FROM stg WHERE source_ingest_date < upto
+                AND source_ingest_date IN (SELECT date FROM state)) AS cause_rows, status
+        FROM (VALUES
+          (TIMESTAMP '2024-02-16 06:30:00', DATE '2000-01-01', DATE '{MIDWAY}', 'PASS'),
+          (TIMESTAMP '2024-02-17 06:30:00', DATE '{MIDWAY}', DATE '{AS_OF}', 'PASS'),
+          (TIMESTAMP '2024-02-18 06:30:00', DATE '{AS_OF}', DATE '{AS_OF}', 'NOTHING NEW')
+        ) runs(run_at, since, upto, status)
+        """,
+        _OUTCOMES,
+    ),
     "ing_11_build_of_accepted_days": over(
         """
         SELECT source_ingest_date, count(*) AS events, CAST(sum(cause_count) AS BIGINT) AS listed,

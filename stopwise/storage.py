@@ -40,6 +40,11 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
 def gathered(df: DataFrame, column: str) -> DataFrame:
     """Bring rows of one partition value together before a partitioned write.
 
