@@ -44,6 +44,18 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def smallest(df: DataFrame, n: int, total: int, *by: str) -> DataFrame:
+    """The n rows with the smallest hashes of ``by``, of ``total``: a repeatable sample.
+
+    Rows far from the smallest hashes are dropped first, so that tasks hand few rows on. With
+    fewer than n rows about, all are taken.
+    """
+    hashed = F.xxhash64(F.lit(1), *by)
+    point = F.pmod(hashed, F.lit(1 << 30)) / float(1 << 30)
+    near = df.filter(point < min(1.0, 4.0 * n / max(total, 1)))
+    return near.orderBy(point, hashed).limit(n)
+
+
 def frame(rows: list[tuple], names: list[str], whole: tuple[str, ...] = ()) -> pd.DataFrame:
     """Rows as a frame whose ``whole`` columns are nullable longs; plain pandas would make floats of
     whole numbers beside a null and round them."""

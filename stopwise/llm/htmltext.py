@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stopwise.llm.common import smallest
+
 PATH_DIM, WORD_DIM, NUMBERS = 128, 32, 6
 INPUT = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 16
@@ -321,8 +323,9 @@ def compose(texts: list[str], count: int = COMPOSED_PAGES) -> list[str]:
 
 def train(pages: DataFrame) -> Labeller:
     """A labeller fitted on at most SAMPLE_PAGES pages, those with the smallest hash, and on composed ones."""
-    chosen = pages.filter(F.col("html").isNotNull()).select("html").orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES)
-    sample = [r["html"] for r in chosen.collect()]
+    usable = pages.filter(F.col("html").isNotNull())
+    chosen = smallest(usable, SAMPLE_PAGES, usable.count(), *pages.columns)
+    sample = [r["html"] for r in chosen.select("html").collect()]
     parsed = [b for b in map(blocks, sample) if 0 < len(b) <= TRAIN_BLOCKS]
     texts = [b.text for page in parsed for b in page]
     parsed += [b for b in map(blocks, compose(texts)) if 0 < len(b) <= TRAIN_BLOCKS]

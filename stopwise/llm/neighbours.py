@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from stopwise.functions.numbering import number_rows
-from stopwise.llm.common import kept
+from stopwise.llm.common import kept, smallest
 
 CURVES = 8
 DIMENSIONS = 8  # of a curve
@@ -162,7 +162,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     if not top["n"]:
         empty = "query_id long, rank int, vec_id long, score double"
         return spark.createDataFrame([], empty)
-    sample = distinct.orderBy(F.xxhash64("vkey"), "vkey").limit(SCALE_ROWS).select("vec").toPandas()
+    sample = smallest(distinct, SCALE_ROWS, top["n"], "vkey").select("vec").toPandas()
     curves = Curves(_matrix(sample["vec"]), float(np.sqrt(top["m"])))
     state = spark.sparkContext.broadcast((curves.largest, curves.rotation, curves.lo, curves.width, curves.shift))
 
@@ -183,7 +183,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     size = top["n"] + top["asked"]
     placed = kept(placed.withColumn("place", F.col("__row") - 1 - F.col("curve") * size).drop("__row"))
 
-    reach = _fitted_reach(distinct, placed, k)
+    reach = _fitted_reach(distinct, placed, k, top["asked"])
     block = int(min(max(reach, 256), BLOCK))
     at = F.floor(F.col("place") / block).cast("int")
     near = F.sequence(
@@ -231,10 +231,10 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     )
 
 
-def _fitted_reach(distinct: DataFrame, placed: DataFrame, k: int) -> int:
+def _fitted_reach(distinct: DataFrame, placed: DataFrame, k: int, total: int) -> int:
     """Places to each side within which COVER of a sample's exact neighbours lie on some curve."""
     spark = distinct.sparkSession
-    asked = distinct.filter("asked = 1").orderBy(F.xxhash64("vkey", F.lit(1)), "vkey").limit(FIT_QUERIES).toPandas()
+    asked = smallest(distinct.filter("asked = 1"), FIT_QUERIES, total, "vkey").toPandas()
     if not len(asked):
         return 1
     queries = spark.sparkContext.broadcast((_matrix(asked["vec"]), asked["vkey"].to_numpy()))
