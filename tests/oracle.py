@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -49,12 +50,13 @@ def oracle_rows(con: duckdb.DuckDBPyConnection, sql: str) -> tuple[list[str], li
     return sorted(names), normal(names, cursor.fetchall())
 
 
-def main(sf_dir: str, wanted: list[str]) -> int:
+def main(sf_dir: str, wanted: list[str], shared: str) -> int:
     import __spark_entry__ as contract
 
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", shared)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -93,4 +95,6 @@ def main(sf_dir: str, wanted: list[str]) -> int:
 
 if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    sys.exit(1 if main(folder, sys.argv[2:]) else 0)
+    with tempfile.TemporaryDirectory(prefix="oracle-", ignore_cleanup_errors=True) as shared:
+        failed = main(folder, sys.argv[2:], shared)
+    sys.exit(1 if failed else 0)
