@@ -57,8 +57,9 @@ QUERIES = {
 
 ORACLES = {
     "vol_stg_2_documents_by_rows": """
-        SELECT CAST(l_orderkey IS NOT NULL AS BIGINT) AS n_rows, count(*) AS documents
-        FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+        SELECT coalesce(n, 0) AS n_rows, count(*) AS documents
+        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem
+                               GROUP BY l_orderkey, l_partkey // 2048) ON l_orderkey = o_orderkey
         GROUP BY 1
     """,
     "vol_stg_7_flatten": """

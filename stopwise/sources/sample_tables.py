@@ -103,17 +103,12 @@ def documents_from_events(events: DataFrame) -> DataFrame:
 
 
 def documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Binding L: a document per line item, and an empty one per order without any.
+    """Binding L: a document per order and slice of part numbers, its line items as an array.
 
-    An outer join could not split an order that holds most line items, as those
-    are on its inner side; an inner join can, and the anti join sees each order
-    key once.
+    Line items are packed before they meet their order, so the join sees few rows per order, and
+    an order without any keeps an empty array. The slice bounds the array of an order that holds
+    most line items.
     """
-    same_order = F.col("l_orderkey") == F.col("o_orderkey")
-    filled = lineitem.join(orders, same_order)
-    keys = lineitem.select("l_orderkey").distinct()
-    empty = orders.join(keys, same_order, "left_anti")
-    joined = filled.unionByName(empty, allowMissingColumns=True)
     no_cause = F.array().cast(schemas.TIMETABLE_ROW["causes"].dataType)
     row = F.struct(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("stationShortCode"),
@@ -127,7 +122,11 @@ def documents_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         F.col("l_partkey").cast("string").alias("commercialTrack"),
         no_cause.alias("causes"),
     )
-    rows = F.slice(F.array(row), F.lit(1), F.when(F.col("l_orderkey").isNull(), 0).otherwise(1))
+    packed = lineitem.groupBy(
+        "l_orderkey", F.floor(F.col("l_partkey") / EVENTS_PER_DOCUMENT).alias("slice")
+    ).agg(F.collect_list(row).alias("rows"))
+    joined = orders.join(packed, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    rows = F.coalesce("rows", F.array().cast(packed.schema["rows"].dataType))
     return joined.select(
         F.to_date("o_orderdate").alias("departureDate"),
         F.col("o_orderkey").alias("trainNumber"),
