@@ -71,6 +71,12 @@ class Warehouse:
         """Use these documents from here on."""
         self.sources = replace(self.sources, documents=documents)
 
+    def use_staged(self, events: DataFrame, causes: DataFrame) -> None:
+        """Read staging that a stream has written instead of flattening the documents again."""
+        self.__dict__["stg_timetable_events"] = events
+        self.__dict__["stg_event_keys"] = events.select("event_key")
+        self.__dict__["stg_delay_causes"] = causes
+
     def store_documents(self, state: DataFrame | None = None) -> None:
         """Parse the landed documents once: from here on they are a Parquet table by date.
 

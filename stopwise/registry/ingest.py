@@ -6,7 +6,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stopwise import schemas
 from stopwise.operators import ingest
 from stopwise.plans.build import BuildFailed, build, result_rows
 from stopwise.plans.daily import daily_run
@@ -17,7 +19,7 @@ from stopwise.registry.sql import over
 from stopwise.sources import documents as src
 from stopwise.sources import sample_tables as bind
 from stopwise.storage import save
-from stopwise.streaming.new_days import read_new_documents, stage_new_days
+from stopwise.streaming.new_days import read_new_documents, stage_new_causes, stage_new_days
 
 # The day the catch-up queries run on; given events end on 2024-01-30.
 AS_OF = dt.date(2024, 2, 10)
@@ -130,20 +132,32 @@ def _run_log(s: Sample) -> DataFrame:
 
 
 def _stream(s: Sample) -> DataFrame:
-    """Two runs of the file stream; the second sees only days landed in between."""
+    """Two runs of the file stream over landed JSON, at both grains; the second sees only days
+    landed in between. The facts are built from what it has staged."""
     root = s.scratch("stream")
-    landing, out, progress = (f"{root}/{p}" for p in ("landing", "staged", "progress"))
-    schema = s.documents.schema
+    landing = f"{root}/landing"
+    schema = T.StructType([*schemas.TRAINS.fields, T.StructField("date", T.DateType())])
     halves = F.dayofmonth("date") <= 15
     for part in (halves, ~halves):
-        save(s.documents.filter(part), landing, "date", mode="append")
-        stream = read_new_documents(s.spark, landing, schema, "parquet")
-        stage_new_days(stream, out, progress, s.settings)
-    staged = s.spark.read.parquet(out)
-    return staged.groupBy("source_ingest_date").agg(
-        F.count("*").alias("events"),
-        F.countDistinct("event_key").alias("event_keys"),
-        F.sum("cause_count").alias("causes"),
+        src.write_landing(s.json_arrays.filter(part), landing)
+        stream = read_new_documents(s.spark, landing, schema)
+        stage_new_days(stream, f"{root}/events", f"{root}/events-seen", s.settings)
+        stage_new_causes(stream, f"{root}/causes", f"{root}/causes-seen")
+    warehouse = Warehouse(s.warehouse.sources, f"{root}/warehouse", s.settings)
+    warehouse.use_staged(
+        s.spark.read.parquet(f"{root}/events"), s.spark.read.parquet(f"{root}/causes")
+    )
+    causes = warehouse.fct_delay_causes.groupBy("source_ingest_date").agg(
+        F.count("*").alias("cause_rows")
+    )
+    return (
+        warehouse.fct_timetable_events.groupBy("source_ingest_date")
+        .agg(
+            F.count("*").alias("events"),
+            F.countDistinct("event_key").alias("event_keys"),
+            F.sum("cause_count").alias("causes"),
+        )
+        .join(causes, "source_ingest_date", "left")
     )
 
 
@@ -338,7 +352,8 @@ ORACLES = {
         """
         SELECT source_ingest_date, count(*) AS events,
                count(DISTINCT event_key) AS event_keys,
-               CAST(sum(cause_count) AS BIGINT) AS causes
+               CAST(sum(cause_count) AS BIGINT) AS causes,
+               CAST(nullif(sum(cause_count), 0) AS BIGINT) AS cause_rows
         FROM stg GROUP BY 1
         """
     ),

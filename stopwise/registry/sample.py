@@ -83,21 +83,22 @@ class Sample:
     def raw_events(self) -> DataFrame:
         return profiling.raw_events(self.raw_trains)
 
-    def _json_arrays(self) -> DataFrame:
+    @property
+    def json_arrays(self) -> DataFrame:
         return src.json_arrays(bind.as_landed(self.sliced_documents), ["slice"])
 
     @cached_property
     def json_root(self) -> str:
         """The documents as gzipped JSON arrays in one folder per date."""
         root = f"{self.root}/json"
-        src.write_landing(self._json_arrays(), root)
+        src.write_landing(self.json_arrays, root)
         return root
 
     @cached_property
     def faulty_json_root(self) -> str:
         """The same, with the bodies of some dates spoiled."""
         root = f"{self.root}/json-faulty"
-        src.write_landing(bind.with_faults(self._json_arrays()), root)
+        src.write_landing(bind.with_faults(self.json_arrays), root)
         return root
 
     @cached_property

@@ -32,14 +32,20 @@ def read_new_documents(
 def stage_new_days(
     documents: DataFrame, out: str, checkpoint: str, settings: Settings = Settings()
 ) -> None:
-    """Append the staged events of all documents not seen before, then stop.
+    """Append the staged events of all documents not seen before, then stop."""
+    _append(staging.timetable_events(documents, settings), out, checkpoint)
 
-    Flattening, keys and flags are row-wise, so the stream keeps no state. The
-    file sink commits each batch once, also after a lost executor.
-    """
+
+def stage_new_causes(documents: DataFrame, out: str, checkpoint: str) -> None:
+    """The same at the grain of delay causes."""
+    _append(staging.delay_causes(documents), out, checkpoint)
+
+
+def _append(staged: DataFrame, out: str, checkpoint: str) -> None:
+    """Flattening, keys and flags are row-wise, so the stream keeps no state. The file sink commits
+    each batch once, also after a lost executor."""
     query = (
-        staging.timetable_events(documents, settings)
-        .writeStream.format("parquet")
+        staged.writeStream.format("parquet")
         .partitionBy("source_ingest_date")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
