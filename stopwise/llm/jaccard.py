@@ -124,9 +124,12 @@ def _grades(survey: DataFrame) -> np.ndarray:
     total = np.zeros(1 << SKETCH_BITS, np.float32)
     for row in chunks.mapInPandas(_sum_chunks, "chunk int, counts binary").toLocalIterator():  # the sketch: fixed size
         total[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(row["counts"], np.uint32)
-    mean = float(np.median(total)) if total.any() else 0.0
-    excess = total - (mean + 4 * np.sqrt(mean) + 2)
-    return np.where(excess > 0, 1 + np.log2(np.maximum(excess, 1)), 0).astype(np.uint8)
+    mean = float(np.median(total))
+    out = np.zeros(1 << SKETCH_BITS, np.uint8)
+    for k in range(0, len(out), width):
+        excess = total[k : k + width] - np.float32(mean + 4 * np.sqrt(mean) + 2)
+        out[k : k + width] = np.where(excess > 0, 1 + np.log2(np.maximum(excess, 1)), 0)
+    return out
 
 
 def _index(docs: DataFrame, grades: np.ndarray) -> DataFrame:
