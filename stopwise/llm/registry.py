@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.llm import decontaminate, htmltext, jaccard, language, lines, mixing, neighbours, secrets, substrings, toxicity
+from stopwise.llm import (
+    decontaminate, divergence, htmltext, jaccard, language, lines, mixing, neighbours, secrets, substrings, toxicity, trie,
+    whitening,
+)
 from stopwise.llm.common import held_out, table
 
 
@@ -75,6 +78,22 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the base rules' counts and whether it is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return divergence.judge(docs, without=("text", "lang"))
+
+
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the rebuilt conversations' prefix trie."""
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the leading components of all, whitened."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).drop("deviation_exact")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_mixing": op2_mixing,
@@ -86,6 +105,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_secrets": op9_secrets,
     "op10_jaccard": op10_jaccard,
+    "op11_divergence": op11_divergence,
+    "op12_trie": op12_trie,
+    "op13_whitening": op13_whitening,
 }
 
 _SPACE = r"[^\x20\x09-\x0D]+"
