@@ -137,77 +137,6 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, othe
     return Model(np.frombuffer(got[0]["weights"], np.float32), got[0]["bias"])
 
 
-def score(self, found: tuple[np.ndarray, np.ndarray]) -> float:
-        z = self.bias + float((self.weights[found[0]] * found[1]).sum())
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rounds: int = 40, least: float = 0.8) -> Model:
-    """Train on features and 0/1 labels. Without both classes the score is the class share.
-
-    Features whose log-count ratio is within ``least`` of 0 would be scaled to little and are left
-    out. The weights are drawn, slightly, towards the log-count ratios themselves.
-    """
-    size, n = 1 << BITS, len(rows)
-    share = float(np.clip(labels.mean(), 0.001, 0.999)) if n else 0.001
-    if n == 0 or labels.min() == labels.max():
-        return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))))
-    yes, no = np.ones(size), np.ones(size)
-    for (at, values), y in zip(rows, labels):
-        (yes if y else no)[at] += 20 * values
-    ratio = (np.log(yes / yes.sum()) - np.log(no / no.sum())).astype(np.float32)
-    ratio[np.abs(ratio) < least] = 0
-    rows = [(at[keep], values[keep]) for at, values in rows for keep in (ratio[at] != 0,)]
-    of = np.repeat(np.arange(n, dtype=np.int32), [len(at) for at, _ in rows])
-    flat = np.concatenate([at for at, _ in rows])
-    scaled = np.concatenate([values for _, values in rows]) * ratio[flat]
-    del rows
-    w, b = np.ones(size, np.float32), 0.0
-    m, v = np.zeros(size + 1), np.zeros(size + 1)
-    for t in range(1, rounds + 1):
-        z = b + np.bincount(of, weights=scaled * w[flat], minlength=n)
-        err = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) / n).astype(np.float32)
-        pull = np.bincount(flat, weights=scaled * err[of], minlength=size) + L2 * (w - 1)
-        g = np.append(pull, err.sum())
-        m = 0.9 * m + 0.1 * g
-        v = 0.99 * v + 0.01 * g * g
-        step = 0.1 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
-        w, b = (w - step[:-1]).astype(np.float32), b - step[-1]
-    return Model((w * ratio).astype(np.float32), float(b))
-
-
-def _scratch() -> np.ndarray:
-    return np.zeros(1 << BITS, np.int32)
-
-
-def _train_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last = _scratch()
-    for batch in batches:
-        found = [features(t, last) for t in batch["text"]]
-        yield pd.DataFrame(
-            {
-                "toxic": batch["toxic"],
-                "places": pd.Series([at.tobytes() for at, _ in found], dtype=object),
-                "vals": pd.Series([values.tobytes() for _, values in found], dtype=object),
-            }
-        )
-
-
-def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS) -> Model:
-    """Fit on at most ``toxic_rows`` + ``other_rows`` labelled documents that are not held out."""
-    usable = labels.filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    by_hash = lambda c, n: usable.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    chosen = by_hash(1, toxic_rows).unionByName(by_hash(0, other_rows))
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the parameters
-    sent = sample.select("toxic", "text").mapInPandas(_train_rows, "toxic int, places binary, vals binary")
-    rows, classes = [], []
-    for row in sent.toLocalIterator():  # bounded by the parameters
-        rows.append((np.frombuffer(row["places"], np.int32), np.frombuffer(row["vals"], np.float32)))
-        classes.append(row["toxic"])
-    return fit(rows, np.array(classes, dtype=np.int64))
-
-
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` plus score (0 to 1) and predicted (1 from THRESHOLD on).
 
