@@ -16,100 +16,110 @@ from stopwise.storage import save
 ACCEPTED = "accepted"
 _CORRUPT = "_corrupt_record"
 
+#: What a scan of the landing says about the file a document comes from.
+FILE_COLUMNS = ["file", "gz_bytes", "modified_at", "response_bytes", "body_hash", "is_array", "is_corrupt"]
+
 
 def _on_days(scan: DataFrame, days: list[dt.date] | None) -> DataFrame:
     """Only the folders of some dates; all of them without ``days``."""
     return scan if days is None else scan.filter(F.col("date").isin(*days))
 
 
-def _files(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
-    """Landed files and their sizes; file contents are not read."""
+def landed_files(spark: SparkSession, root: str, days: list[dt.date] | None = None) -> DataFrame:
+    """Landed files, their sizes and when they were written; file contents are not read."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(root)
-        .select("path", F.col("length").alias("gz_bytes"), path_date(F.col("path")).alias("date"))
+        .select(
+            path_date(F.col("path")).alias("date"),
+            _local_name(F.col("path")).alias("file"),
+            F.col("length").alias("gz_bytes"),
+            F.col("modificationTime").alias("modified_at"),
+        )
     )
     return _on_days(listed, days)
 
 
 def landed_dates(spark: SparkSession, root: str) -> DataFrame:
     """Dates that have a landed file; file contents are not read."""
-    return _files(spark, root, None).select("date").distinct()
+    return landed_files(spark, root).select("date").distinct()
 
 
-def _parsed(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
-    """Documents and unparsable bodies per file."""
-    schema = T.StructType(
-        [*schemas.TRAINS.fields, T.StructField(_CORRUPT, T.StringType())]
-    )
-    scanned = (
-        spark.read.schema(schema)
-        .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        .json(root)
-    )
-    corrupt = F.col(_CORRUPT).isNotNull()
-    return _on_days(scanned, days).groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        # Naming a data column keeps the scan from asking for nothing but errors.
-        F.count_if(F.col("departureDate").isNotNull() | ~corrupt).alias("documents"),
-        F.count_if(corrupt).alias("corrupt"),
-    )
+def _local_name(path: Column) -> Column:
+    """Listing and scan spell the scheme of a path differently; compare without it."""
+    return F.regexp_replace(path, r"^[a-z0-9]+:/*", "/")
 
 
-def _opened(spark: SparkSession, root: str, days: list[dt.date] | None) -> DataFrame:
-    """Whether the text before a file's first object opens an array, and its length.
+def changed_dates(listed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Dates with a file that ``seen`` lacks or knows with another size or time, or without one it had.
 
-    The text is read in pieces that end at an opening brace. In a valid body of
-    the declared schema only the very first piece can be a lone bracket.
+    A date all of whose files are gone has been cleared from the landing, not changed.
     """
-    pieces = _on_days(spark.read.option("lineSep", "{").text(root), days)
-    return pieces.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.max(F.col("value").rlike(r"^\s*\[\s*$")).alias("is_array"),
-        (F.sum(F.octet_length("value")) + F.count("*") - 1).alias("response_bytes"),
-    )
-
+    known = seen.select("date", "file", "gz_bytes", "modified_at")
+    there = listed.select(known.columns)
+    new = there.join(known, known.columns, "left_anti")
+    lost = known.join(there, ["date", "file"], "left_anti").join(there.select("date"), "date", "left_semi")
+    return new.select("date").unionByName(lost.select("date")).distinct()
 
-def _local_name(path: Column) -> Column:
-    """Listing and scan spell the scheme of a path differently; compare without it."""
-    return F.regexp_replace(path, r"^[a-z0-9]+:/*", "/")
 
+def scan_landing(spark: SparkSession, root: str, days: list[dt.date] | None = None) -> DataFrame:
+    """Documents of the landing with what their file says, from one read of every body.
 
-def validate_landing(
-    spark: SparkSession, root: str, days: list[dt.date] | None = None
-) -> DataFrame:
-    """ING-2. Outcome per landed date, or per one of ``days`` that is landed.
-
-    A date is accepted when every one of its files parses, is an array and is
-    not empty. Files without documents yield no scanned rows, so they are found
-    in the file listing.
+    A row per document; one without any for a body that has none. A body is one row of text, so
+    its length, its checksum, how it begins and the documents it holds come from the same scan. A
+    body that is no array is read as the only element of one: whether it parses and whether it is
+    an array are different questions.
     """
-    key = _local_name(F.col("file")).alias("name")
-    files = _files(spark, root, days).select(
-        _local_name(F.col("path")).alias("name"), "gz_bytes", "date"
+    documents = T.StructField("docs", T.ArrayType(schemas.TRAINS))
+    schema = T.StructType([documents, T.StructField(_CORRUPT, T.StringType())])
+    bodies = _on_days(spark.read.text(root, wholetext=True), days)
+    body = F.col("value")
+    is_array = body.rlike(r"^\s*\[")
+    whole = F.when(is_array, body).otherwise(F.concat(F.lit("["), body, F.lit("]")))
+    parsed = F.from_json(
+        F.concat(F.lit('{"docs":'), whole, F.lit("}")), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+    files = bodies.select(
+        "date",
+        _local_name(F.col("_metadata.file_path")).alias("file"),
+        F.col("_metadata.file_size").alias("gz_bytes"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
+        F.octet_length(body).cast("bigint").alias("response_bytes"),
+        F.md5(body.cast("binary")).alias("body_hash"),
+        is_array.alias("is_array"),
+        parsed.alias("parsed"),
     )
-    parsed = _parsed(spark, root, days).select(key, "documents", "corrupt")
-    opened = _opened(spark, root, days).select(key, "is_array", "response_bytes")
-    per_file = files.join(parsed, "name", "left").join(opened, "name", "left")
+    blank = F.col("parsed.docs").isNull() & (F.col("response_bytes") == 0)
+    return files.select(
+        *[c for c in files.columns if c != "parsed"],
+        (F.col(f"parsed.{_CORRUPT}").isNotNull() & ~blank).alias("is_corrupt"),
+        F.explode_outer("parsed.docs").alias("doc"),
+    ).select(*[c for c in files.columns if c != "parsed"], "is_corrupt", F.col("doc").isNotNull().alias("has_doc"), "doc.*")
+
+
+def file_outcomes(scanned: DataFrame) -> DataFrame:
+    """A row per scanned file: what ``scan_landing`` says of it, its documents and its status."""
+    per_file = scanned.groupBy("date", *FILE_COLUMNS).agg(F.count_if("has_doc").alias("documents"))
     reason = (
-        F.when(F.col("corrupt") > 0, "malformed")
-        .when(F.coalesce("documents", F.lit(0)) == 0, "empty")
-        .when(~F.coalesce("is_array", F.lit(False)), "not_an_array")
+        F.when(F.col("is_corrupt"), "malformed")
+        .when(F.col("documents") == 0, "empty")
+        .when(~F.col("is_array"), "not_an_array")
         .otherwise(ACCEPTED)
     )
-    per_date = (
-        per_file.withColumn("reason", reason)
-        .groupBy("date")
-        .agg(
-            F.count("*").alias("files"),
-            F.count_if(F.col("reason") != ACCEPTED).alias("bad_files"),
-            F.max(F.when(F.col("reason") != ACCEPTED, F.col("reason"))).alias("bad"),
-            F.sum("response_bytes").alias("response_bytes"),
-            F.sum("gz_bytes").alias("gz_bytes"),
-            F.sum(F.when(F.col("reason") == ACCEPTED, F.col("documents")).otherwise(0)).alias(
-                "num_trains"
-            ),
-        )
+    return per_file.withColumn("reason", reason)
+
+
+def date_outcomes(files: DataFrame) -> DataFrame:
+    """ING-2. Outcome per date: accepted when every one of its files is."""
+    ok = F.col("reason") == ACCEPTED
+    per_date = files.groupBy("date").agg(
+        F.count("*").alias("files"),
+        F.count_if(~ok).alias("bad_files"),
+        F.max(F.when(~ok, F.col("reason"))).alias("bad"),
+        F.sum("response_bytes").alias("response_bytes"),
+        F.sum("gz_bytes").alias("gz_bytes"),
+        F.sum(F.when(ok, F.col("documents")).otherwise(0)).alias("num_trains"),
     )
     return per_date.select(
         "date",
@@ -122,6 +132,16 @@ def validate_landing(
     )
 
 
+def validate_landing(
+    spark: SparkSession, root: str, days: list[dt.date] | None = None
+) -> DataFrame:
+    """ING-2. Outcome per landed date, or per one of ``days`` that is landed.
+
+    A date is accepted when every one of its files parses, is an array and is not empty.
+    """
+    return date_outcomes(file_outcomes(scan_landing(spark, root, days)))
+
+
 def wall_clock(at: dt.datetime) -> Column:
     """A zone-free time literal; a plain literal would pass through the session zone."""
     return F.lit(at.isoformat()).cast("timestamp_ntz")

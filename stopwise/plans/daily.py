@@ -1,4 +1,4 @@
-"""The daily run: validate what has landed, take accepted days in, refresh or build, log the run."""
+"""The daily run: find what has landed or changed, validate it, refresh or build, log the run."""
 
 from __future__ import annotations
 
@@ -7,65 +7,95 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stopwise import schemas
 from stopwise.operators import ingest
+from stopwise.operators.ingest import ACCEPTED
 from stopwise.plans.build import build
-from stopwise.plans.refresh import refresh_days, replace_documents
+from stopwise.plans.refresh import refresh_days
 from stopwise.plans.warehouse import Warehouse
-from stopwise.sources.documents import read_documents
-from stopwise.storage import exists, save
+from stopwise.storage import fresh_dir, save
 
 PASSED, FAILED, IDLE = "PASS", "FAIL", "NOTHING NEW"
 
-
-def _state(warehouse: Warehouse, path: str) -> DataFrame | None:
-    if not exists(warehouse.spark, path):
-        return None
-    return ingest.current_state(warehouse.spark.read.parquet(path))
+#: What is kept of every landed file that has been read, accepted or not.
+SEEN = ["date", "file", "gz_bytes", "modified_at", "response_bytes", "body_hash", "documents", "reason"]
 
 
 def daily_run(
     warehouse: Warehouse, landing: str, root: str, at: dt.datetime, as_of: dt.date | None = None
 ) -> DataFrame:
-    """One run over the landing folder; returns the run log with the new line.
+    """One run over the landing folder; returns the run log (``root``/runs) with the new line.
 
-    Days before ``as_of`` that have landed and are not in the state yet, holes included, are
-    validated, each body once. Accepted ones are recorded in the state (``root``/state) and taken
-    into the document table; the warehouse is built on the first run and refreshed for these days
-    on later ones. Rejected days stay out and are looked at again by the next run. A run whose
-    checks fail is logged as such and raises ``BuildFailed``.
+    Days before ``as_of`` with a file that is new, or of another size or time than when it was
+    read, holes and days landed again included, are read: every body once. Where all bodies of a
+    day are known, it is as it was. Other accepted days are taken in: the warehouse is built when
+    it has no version yet and refreshed for these days otherwise, in this process or a later one.
+    Documents, tables, state and the list of files seen are published together, after the checks. A
+    rejected day stays as it is and is looked at again when it has changed. A run whose checks fail
+    is logged as such, changes nothing else and raises ``BuildFailed``.
     """
     spark = warehouse.spark
     as_of = as_of or warehouse.settings.as_of or at.date()
-    state_path, log_path = f"{root}/state", f"{root}/runs"
-    state = _state(warehouse, state_path)
-    known = set() if state is None else {r["date"] for r in state.select("date").collect()}
-    landed = ingest.landed_dates(spark, landing).filter(F.col("date") < F.lit(as_of))
-    wanted = sorted({r["date"] for r in landed.collect()} - known)  # days, not documents
+    if "fct_timetable_events" in warehouse.tables.version():
+        warehouse.reopen()
+    latest = warehouse.tables.version()
+    listed = ingest.landed_files(spark, landing).filter(F.col("date") < F.lit(as_of))
+    if "landed_files" in latest:
+        wanted = ingest.changed_dates(listed, latest.read("landed_files"))
+    else:
+        wanted = listed.select("date").distinct()
+    wanted = sorted(r["date"] for r in wanted.collect())  # days, not documents
 
-    days: list[dt.date] = []
-    if wanted:
-        outcomes = save(ingest.validate_landing(spark, landing, wanted), f"{root}/outcomes")
-        accepted = ingest.accepted_state(outcomes, ingest.wall_clock(at))
-        days = [r["date"] for r in accepted.select("date").collect()]
-    status = IDLE
+    status, days = IDLE, []
     try:
-        if days:
+        if wanted:
             status = FAILED
-            documents = read_documents(spark, landing).filter(F.col("date").isin(*days))
-            if known:
-                table = replace_documents(documents, warehouse.path("documents"), days)
-                refresh_days(warehouse, table, days)
-            else:
-                warehouse.take(documents)
-                build(warehouse)
-            ingest.record_state(accepted, state_path)
-            status = PASSED
+            days = _take_in(warehouse, landing, wanted, at)
+            status = PASSED if days else IDLE
     finally:
-        state = _state(warehouse, state_path)
-        if state is not None and exists(spark, warehouse.path("fct_delay_causes")):
+        latest = warehouse.tables.version()
+        if "fct_delay_causes" in latest:
             line = ingest.run_log_row(
-                state, warehouse.fct_timetable_events, warehouse.fct_delay_causes,
-                dates=len(days), status=status, at=at,
+                ingest.current_state(latest.read("state")), latest.read("fct_timetable_events"),
+                latest.read("fct_delay_causes"), dates=len(days), status=status, at=at,
             )
-            save(line, log_path, mode="append")
-    return spark.read.parquet(log_path)
+            save(line, f"{root}/runs", mode="append")
+    return spark.read.parquet(f"{root}/runs")
+
+
+def _take_in(warehouse: Warehouse, landing: str, wanted: list[dt.date], at: dt.datetime) -> list[dt.date]:
+    """Read the wanted days, take those in that are accepted and new; the days taken in."""
+    spark = warehouse.spark
+    scanned = save(ingest.scan_landing(spark, landing, wanted), f"{fresh_dir(spark, 'landed')}/documents", "date")
+    with warehouse.writing() as draft:
+        files = save(ingest.file_outcomes(scanned), f"{fresh_dir(spark, 'landed')}/files")
+        outcomes = ingest.date_outcomes(files)
+        known = draft.read("landed_files") if "landed_files" in draft else None
+        seen = files.select(SEEN)
+        if known is not None:
+            other_days = known.filter(~F.col("date").isin(*wanted))
+            changed = _bodies(files).join(_bodies(known), ["date", "bodies"], "left_anti").select("date")
+            outcomes = outcomes.join(changed, "date", "left_semi")
+            seen = other_days.unionByName(seen)
+        accepted = ingest.accepted_state(outcomes, ingest.wall_clock(at))
+        days = sorted(r["date"] for r in accepted.select("date").collect())
+        if days:
+            documents = scanned.filter(F.col("date").isin(*days)).select(*schemas.TRAINS.names, "date")
+            if "fct_timetable_events" in draft:
+                refresh_days(warehouse, documents, days)
+            else:
+                warehouse.take(documents)
+                build(warehouse)
+            draft.append("state", accepted)
+        draft.write("landed_files", seen)
+    return days
+
+
+def _bodies(files: DataFrame) -> DataFrame:
+    """What a date consists of: the checksums of its bodies and whether all were accepted."""
+    return files.groupBy("date").agg(
+        F.struct(
+            F.sort_array(F.collect_list("body_hash")).alias("hashes"),
+            F.bool_and(F.col("reason") == ACCEPTED).alias("ok"),
+        ).alias("bodies")
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -10,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from stopwise.operators import dimensions, facts, punctuality, staging
 from stopwise.operators.ingest import accepted_documents
 from stopwise.settings import Settings
-from stopwise.storage import gathered, save
+from stopwise.snapshots import Draft, TableSet
+from stopwise.storage import gathered
 
 
 @dataclass(frozen=True)
@@ -26,9 +29,10 @@ class Sources:
 class Warehouse:
     """Staging stays lazy (SNK-1); dimensions, facts and the aggregate are tables (SNK-2).
 
-    A table is written on first use and read back from ``root``, so whatever is
-    derived from it starts at a scan with real statistics and a short lineage.
-    ``opened`` reads tables that an earlier session has built.
+    A table is written on first use and read back, so whatever is derived from it starts at a scan
+    with real statistics and a short lineage. Tables belong to versions: what is written within
+    ``writing`` becomes visible at once when that ends, or not at all; a table written outside is a
+    version of its own. ``opened`` reads the latest version.
     """
 
     TABLES = (
@@ -46,6 +50,8 @@ class Warehouse:
         self.sources = sources
         self.root = root
         self.settings = settings
+        self.tables = TableSet(sources.documents.sparkSession, root)
+        self._draft: Draft | None = None
 
     @classmethod
     def opened(cls, sources: Sources, root: str, settings: Settings = Settings()) -> "Warehouse":
@@ -54,19 +60,50 @@ class Warehouse:
         return warehouse
 
     def reopen(self) -> None:
-        """Read every table as it is stored now, without building it."""
+        """Read the tables of the latest version, without building any."""
+        self.forget()
+        latest = self.tables.version()
         for name in self.TABLES:
-            self.__dict__[name] = self.spark.read.parquet(self.path(name))
-        for name in [n for n in self.__dict__ if n.startswith("stg_") or n == "headers"]:
-            del self.__dict__[name]  # derived from the documents, which may have changed
+            if name in latest:
+                self.__dict__[name] = latest.read(name)
+        if "documents" in latest:
+            self.take(latest.read("documents"))
+
+    def forget(self) -> None:
+        """Derive staging and tables anew on their next use."""
+        for name in [n for n in self.__dict__ if n.startswith("stg_") or n == "headers" or n in self.TABLES]:
+            del self.__dict__[name]
+
+    @contextmanager
+    def writing(self) -> Iterator[Draft]:
+        """A draft of the next version: published at the end, dropped when anything fails.
+
+        After a failure the warehouse reads the latest version, as everyone else does.
+        """
+        if self._draft is not None:  # within an outer one, which decides
+            yield self._draft
+            return
+        self._draft = self.tables.draft()
+        sources = self.sources
+        try:
+            yield self._draft
+            self._draft.publish()
+        except BaseException:
+            self._draft.drop()
+            self.sources = sources
+            self.reopen()
+            raise
+        finally:
+            self._draft = None
+
+    def hold(self, name: str, table: DataFrame) -> None:
+        """Read this for a table from here on."""
+        self.__dict__[name] = table
 
     @property
     def spark(self) -> SparkSession:
         return self.sources.documents.sparkSession
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
     def take(self, documents: DataFrame) -> None:
         """Use these documents from here on."""
         self.sources = replace(self.sources, documents=documents)
@@ -88,7 +125,19 @@ class Warehouse:
         self.take(self._table("documents", gathered(taken, "date"), "date"))
 
     def _table(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        return save(df, self.path(name), partition_by)
+        with self.writing() as draft:
+            return draft.write(name, df, partition_by)
+
+    def keys(self, name: str, rows: DataFrame, by: list[str]) -> DataFrame:
+        """The key map of a dimension, extended by natural keys that it lacks.
+
+        It outlives full builds, so a key means the same before and after one.
+        """
+        table = f"key_{name}"
+        with self.writing() as draft:
+            known = draft.read(table) if table in draft else None
+            extended = dimensions.extended_keys(known, rows, f"{name}_key", by)
+            return draft.write(table, extended)
 
     @cached_property
     def stg_timetable_events(self) -> DataFrame:
@@ -121,7 +170,9 @@ class Warehouse:
 
     @cached_property
     def dim_station(self) -> DataFrame:
-        return self._table("dim_station", dimensions.station(self.stg_stations))
+        with self.writing():
+            keys = self.keys("station", self.stg_stations, dimensions.STATION)
+            return self._table("dim_station", dimensions.station(self.stg_stations, keys))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -129,11 +180,15 @@ class Warehouse:
 
     @cached_property
     def dim_train_type(self) -> DataFrame:
-        return self._table("dim_train_type", dimensions.train_type(self.headers))
+        with self.writing():
+            keys = self.keys("train_type", self.headers, dimensions.TRAIN_TYPE)
+            return self._table("dim_train_type", dimensions.train_type(self.headers, keys))
 
     @cached_property
     def dim_cause(self) -> DataFrame:
-        return self._table("dim_cause", dimensions.cause(self.stg_cause_codes))
+        with self.writing():
+            keys = self.keys("cause", self.stg_cause_codes, dimensions.CAUSE)
+            return self._table("dim_cause", dimensions.cause(self.stg_cause_codes, keys))
 
     @cached_property
     def fct_timetable_events(self) -> DataFrame:

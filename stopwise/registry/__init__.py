@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stopwise.registry import facts, ingest, profile, questions, staging, volume
+from stopwise.registry import facts, ingest, profile, questions, staging, versions, volume
 from stopwise.registry.sample import Sample, sample
 
-_LAYERS = (staging, facts, questions, profile, ingest, volume)
+_LAYERS = (staging, facts, questions, profile, ingest, versions, volume)
 
 
 def _bind(query: Callable[[Sample], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

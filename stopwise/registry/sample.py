@@ -15,7 +15,7 @@ from stopwise.plans.warehouse import Sources, Warehouse
 from stopwise.settings import Settings
 from stopwise.sources import documents as src
 from stopwise.sources import sample_tables as bind
-from stopwise.storage import fresh_dir, save
+from stopwise.storage import file_system, fresh_dir, save
 
 SETTINGS = Settings(
     min_arrivals=50,
@@ -163,11 +163,17 @@ class Sample:
         return src.read_metadata(self.spark, self.metadata_root(name), declared[name])
 
 
-_samples: dict[tuple[str, str], Sample] = {}
+_samples: dict[tuple, Sample] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the given tables: changed ones are other ones."""
+    files, at = file_system(spark, sf_dir)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files.listStatus(at)))
 
 
 def sample(spark: SparkSession, sf_dir: str) -> Sample:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, sf_dir))
     if key not in _samples:
         _samples[key] = Sample(spark, sf_dir)
     return _samples[key]

@@ -93,7 +93,7 @@ def _staging_view(s: Sample) -> DataFrame:
 
 def _partitioned_fact(s: Sample) -> DataFrame:
     s.warehouse.fct_timetable_events  # noqa: B018 - written on first use
-    stored = s.spark.read.parquet(s.warehouse.path("fct_timetable_events"))
+    stored = s.warehouse.tables.version().read("fct_timetable_events")
     return stored.groupBy("source_ingest_date").agg(F.count("*").alias("n"))
 
 

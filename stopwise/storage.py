@@ -26,7 +26,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_dir(spark))
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path on it."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
@@ -34,14 +35,14 @@ def _file_system(spark: SparkSession, path: str):
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A new folder for derived tables; it is deleted when the session's JVM ends."""
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-    files, at = _file_system(spark, path)
+    files, at = file_system(spark, path)
     files.mkdirs(at)
     files.deleteOnExit(at)
     return path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, at = _file_system(spark, path)
+    files, at = file_system(spark, path)
     return files.exists(at)
 
 
@@ -86,6 +87,6 @@ def replace_partitions(
     after = stored(spark, path, df)
     kept = rows.select(partition_by).distinct().collect()  # at most one row per value
     for value in set(values) - {r[partition_by] for r in kept}:
-        files, at = _file_system(spark, f"{path}/{partition_by}={value}")
+        files, at = file_system(spark, f"{path}/{partition_by}={value}")
         files.delete(at, True)
     return stored(spark, path, after)
