@@ -37,12 +37,17 @@ def extended_keys(known: DataFrame | None, rows: DataFrame, key: str, by: list[s
     wanted = rows.select(*by).distinct()
     if known is None:
         return number_rows(wanted, key, by).select(key, *by)
-    new = wanted.alias("r").join(known.alias("k"), _same("r", "k", by), "left_anti")
+    new = lacking(known, wanted, by)
     last = known.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
     numbered = number_rows(new, key, by).withColumn(key, F.col(key) + last)
     return known.unionByName(numbered.select(key, *by))
 
 
+def lacking(known: DataFrame, rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows whose natural key ``known`` does not have."""
+    return rows.alias("r").join(known.alias("k"), _same("r", "k", by), "left_anti")
+
+
 def _same(left: str, right: str, by: list[str]) -> Column:
     """Equal in all columns, nulls equal to nulls."""
     return reduce(Column.__and__, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in by])
@@ -50,8 +55,7 @@ def _same(left: str, right: str, by: list[str]) -> Column:
 
 def merged(known: DataFrame, fresh: DataFrame, by: list[str]) -> DataFrame:
     """Rows as they are now: fresh ones replace known ones of their natural key, others stay."""
-    gone = known.alias("k").join(fresh.alias("f"), _same("k", "f", by), "left_anti")
-    return fresh.unionByName(gone.select(fresh.columns))
+    return fresh.unionByName(lacking(fresh, known, by).select(fresh.columns))
 
 
 def _with_keys(rows: DataFrame, key: str, by: list[str], keys: DataFrame | None) -> DataFrame:
