@@ -7,8 +7,8 @@ documents are noisy, so distances count only from a least length on.
 
 Common words are those that make up a given share of a language's words. Candidates come from
 mergeable counters of bounded size that cannot miss such a word; their counts are exact. References
-are counted again without the documents that are too far from the first ones, so that junk does not
-become the norm.
+to the same words are counted again without the documents that are too far from the first ones, so
+that junk does not become the norm.
 """
 
 from __future__ import annotations
@@ -221,26 +221,29 @@ def apart(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.sqrt(max(0.0, (against(a) + against(b)) / 2)))
 
 
-def references(rows: DataFrame) -> References:
-    """Count the references over ``rows`` of (lang, __m) that pass the base rules, all of them."""
+def references(rows: DataFrame, first: References | None = None) -> References:
+    """Count the references over ``rows`` of (lang, __m) that pass the base rules, all of them.
+
+    With ``first``, the languages and common words are those of it.
+    """
     usable = rows.filter("lang IS NOT NULL AND NOT __m.base_failed")
     sums = [F.sum(F.col("__m.classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
     per = usable.groupBy("lang").agg(F.sum("__m.n_plain").alias("n"), *sums)
     share = F.col("n") / F.sum("n").over(W.partitionBy())  # one row per language
-    langs = {r["lang"]: r for r in per.withColumn("share", share).filter(F.col("share") >= LANGUAGE).collect()}
+    wanted = F.col("share") >= LANGUAGE if first is None else F.col("lang").isin(list(first.langs))
+    langs = {r["lang"]: r for r in per.withColumn("share", share).filter(wanted).collect()}
     pairs = usable.filter(F.col("lang").isin(list(langs))).select("lang", F.explode(F.arrays_zip("__m.at", "__m.counts")).alias("x"))
     counts = pairs.groupBy("lang", F.col("x.at").alias("at")).agg(F.sum("x.counts").alias("n")).orderBy("lang", "at")
-    found: dict[str, list] = {}
+    found: dict[str, dict[int, int]] = {lang: {} for lang in langs}
     for r in counts.collect():  # languages x candidates
-        if r["n"] >= COMMON * langs[r["lang"]]["n"]:
-            found.setdefault(r["lang"], []).append((r["at"], r["n"]))
+        found[r["lang"]][r["at"]] = r["n"]
     out = {}
     for lang, row in langs.items():
-        common = found.get(lang, [])
-        words = [n for _, n in common]
+        common = [i for i, n in found[lang].items() if n >= COMMON * row["n"]] if first is None else first.langs[lang][1]
+        words = [found[lang].get(i, 0) for i in common]
         hist = np.array([*words, row["n"] - sum(words)], float)
         chars = np.array([row[f"c{i}"] for i in range(len(CLASSES))], float)
-        out[lang] = (chars, np.array([i for i, _ in common], int), hist)
+        out[lang] = (chars, np.array(common, int), hist)
     return References(out)
 
 
@@ -283,7 +286,7 @@ def judge(docs: DataFrame, without: tuple[str, ...] = ()) -> DataFrame:
     rows = measured(docs, candidates(docs), tuple(c for c in without if c != "lang"))
     known = references(rows)
     for _ in range(ROUNDS - 1):
-        known = references(_verdicts(rows, known).filter(near_enough()))
+        known = references(_verdicts(rows, known).filter(near_enough()), known)
     new = [*OUT, "chars_apart", "words_apart", "kept"]
     return _verdicts(rows, known).select(
         *[F.col(c) for c in docs.columns if c not in without and c not in new],
