@@ -1,4 +1,4 @@
-"""Distribution divergence, conversation trie and whitening against brute force, and their odd inputs."""
+"""Distribution divergence, conversation trie, whitening and guess costs against brute force; odd inputs."""
 
 import collections
 import hashlib
@@ -11,7 +11,7 @@ import zlib
 import numpy as np
 import pytest
 
-from stopwise.llm import divergence, registry, trie, whitening
+from stopwise.llm import divergence, registry, secrets, toxicity, trie, whitening
 
 SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
@@ -355,3 +355,99 @@ def test_deviations_are_exact_beyond_longs(spark):
     for r in whitening.whiten(df).collect():
         assert int(r["deviation_exact"]) == exact[r["vec_id"]]
         assert r["deviation"] == (exact[r["vec_id"]] if exact[r["vec_id"]] < 1 << 63 else None)
+
+
+# --- guess costs
+
+
+def slow_cost(value, ranks):
+    """Every segmentation, of pieces as the operator defines them."""
+    low = value.lower() if len(value.lower()) == len(value) else value
+    plain = low.translate(secrets._LEET)
+    best = [0.0] + [np.inf] * len(value)
+    for i in range(1, len(value) + 1):
+        best[i] = best[i - 1] + secrets._brute_force(low[i - 1])
+        for s in range(i):
+            piece, size = low[s:i], i - s
+            costs = [np.log10(ranks[w] + 1) + 0.3 * (value[s:i] != w) for w in (piece, plain[s:i]) if size > 2 and w in ranks]
+            if any(d.fullmatch(value[s:i]) for d in secrets._DATES):
+                costs.append(np.log10(36500))
+            if size > 2 and all(piece[k : k + 2] in secrets._NEXT for k in range(size - 1)):
+                costs.append(np.log10(50) + np.log10(size))
+            for p in range(1, secrets.LONGEST_UNIT + 1):
+                if size % p == 0 and size >= max(3, 2 * p) and piece == piece[:p] * (size // p):
+                    unit = secrets._brute_force(piece) if p == 1 else slow_cost(piece[:p], ranks)
+                    costs.append(unit + np.log10(size // p))
+            if costs:
+                best[i] = min(best[i], best[s] + min(costs))
+    return best[-1]
+
+
+def test_guess_cost_is_the_minimum_over_all_pieces():
+    rng = random.Random(1)
+    parts = ("pass word ssss qwer 1234 2024 0131 abc abcabc zx P@ss dragon X 9 - . 12121 hello asdf tttt poiu w "
+             "20240131 qaz").split()
+    for value in ("passssss", "shadowwwww", "trustttttt", "abcabcabcabc", "qwqwqwqw", "İstanbul1", ""):
+        assert secrets.guess_cost(value) == pytest.approx(slow_cost(value, secrets.COMMON)), value
+    for _ in range(3000):
+        if rng.random() < 0.7:
+            value = "".join(rng.choice(parts) for _ in range(rng.randint(1, 6)))
+        else:
+            value = "".join(rng.choice("qwertas12 5aZ") for _ in range(rng.randint(1, 18)))
+        assert secrets.guess_cost(value) == pytest.approx(slow_cost(value, secrets.COMMON)), value
+
+
+def test_names_made_of_words_are_no_secrets(spark):
+    prose = "the correct horse has a battery and a staple from the vault to get a process name in this env\n"
+    df = spark.createDataFrame([(i, prose * 2) for i in range(10)], "doc_id long, text string")
+    ranks = secrets.learn(df, path="/nowhere")
+    assert ranks["horse"] and ranks["password"] == 1 and "zzz" not in ranks
+    for value in ("correcthorsebatterystaple", "process.env.SECRET_NAME", "getSecretFromVault()"):
+        assert not secrets.guessed_spans(f"token = {value}", ranks=ranks), value
+    for value in ("x7Fq9ZkLm2Pw#q", "ghp_16C7e42F292c6912E7710c838347Ae178B4a", "8231957203948172"):
+        assert secrets.guessed_spans(f"token = {value}", ranks=ranks), value
+    assert secrets.learn(df.limit(0), path="/nowhere")["password"] == 1
+    assert secrets.vocabulary("/nowhere") == []
+
+
+# --- toxicity
+
+
+def test_the_classifier_is_fitted_in_a_task(spark, monkeypatch):
+    from pyspark import TaskContext
+
+    inner = toxicity.fit
+
+    def fit(*a, **k):
+        if TaskContext.get() is None:
+            raise AssertionError("fitted in the driver")
+        return inner(*a, **k)
+
+    monkeypatch.setattr(toxicity, "fit", fit)
+    bad, good = "you stupid worthless clown", "a kind word for the garden and the sea"
+    docs = spark.createDataFrame([(i, (bad if i % 2 else good) + f" {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    rows = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    assert all((rows[i]["score"] > 0.3) == bool(i % 2) for i in range(60))
+
+
+def test_toxicity_scores_equal_a_plain_scorer(spark):
+    """Weights times features, n-gram by n-gram, as the method words it."""
+    bad, good = "you stupid worthless clown", "a kind word for the garden and the sea"
+    docs = spark.createDataFrame([(i, (bad if i % 3 else good) + f" {i}" * (i % 5)) for i in range(40)], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(40)], "doc_id long, toxic int"))
+
+    def place(gram):
+        h = int(np.uint64(ord(gram[0])) * np.uint64(int(toxicity._MIX)) & np.uint64(0xFFFFFFFF))
+        for c in gram[1:]:
+            point = ord(c) * int(toxicity._MIX) & 0xFFFFFFFF
+            h = ((h * int(toxicity._MUL)) & 0xFFFFFFFF) ^ point
+        return (h * int(toxicity._MIX) & 0xFFFFFFFF) >> (32 - toxicity.BITS)
+
+    for r in toxicity.score(docs, model).collect():
+        text = f" {r['text'].lower()} "
+        counts = collections.Counter(place(text[i : i + n]) for n in toxicity.ORDERS for i in range(len(text) - n + 1))
+        size = np.sqrt(sum(np.log1p(c) ** 2 for c in counts.values()))
+        z = model.bias + sum(model.weights[p] * np.log1p(c) / size for p, c in counts.items())
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
