@@ -4,8 +4,9 @@ A page becomes its sequence of leaf blocks. Each block is described by its tag p
 and id words, hashed), by its words (hashed) and by a few numbers; a bidirectional LSTM reads the
 whole sequence and labels every block, so a block is judged in the context of all the others. The
 network is plain numpy. It is trained here, on a bounded sample of pages and on pages composed from
-their texts, with labels a teacher gives to blocks whose path says what they are; other blocks
-carry no label, and path words are dropped at random, so that words and context count too.
+their texts, with labels a teacher gives to blocks whose path says what they are: the nearest
+element that says anything counts, whatever contains it. Other blocks carry no label, path words are
+dropped at random, and some composed pages have nameless elements, so that words and context count too.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +27,8 @@ from stopwise.llm.common import smallest
 PATH_DIM, WORD_DIM, NUMBERS = 128, 32, 6
 INPUT = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 16
-#: Pages the labeller is trained on, pages composed from them, and blocks of a training page.
-SAMPLE_PAGES, COMPOSED_PAGES, TRAIN_BLOCKS = 300, 400, 120
+#: Pages the labeller is trained on, pages composed from them, blocks of a training window and windows.
+SAMPLE_PAGES, COMPOSED_PAGES, WINDOW, WINDOWS = 300, 400, 120, 1000
 EPOCHS, BATCH = 16, 16
 SEED = 6
 #: Blocks labelled together at most, whatever the pages' lengths.
@@ -49,35 +51,106 @@ NOT_MAIN = frozenset(
     "consent popup modal form login search comment comments reply replies disqus related share social breadcrumb "
     "breadcrumbs pager pagination newsletter subscribe widget toolbar copyright legal button".split()
 )
-MAIN = frozenset("article main content post entry story body-text".split())
-
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
-_NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+MAIN = frozenset("article main content post entry story".split())
+#: An element named as one of these holds the whole page: its other names say nothing. Names that
+#: start like the second ones say what a page has, not what an element is.
+CONTAINER = frozenset("wrapper wrap container layout page site outer root body html".split())
+OF_PAGE = ("has-", "with-", "no-", "is-", "js-")
+#: Elements of a block's path that are looked at, from the block outwards.
+NEAREST = 8
+
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]*)(\s*=\s*)?")
+_BARE = re.compile(r"[^\s>]*")
+_NAMING = frozenset(("class", "id", "role"))
 _PART = re.compile(r"[a-z]+")
 
 
 class Block:
-    __slots__ = ("path", "text", "linked")
+    __slots__ = ("path", "text", "linked", "verdict")
+
+    def __init__(self, path: tuple[str, ...], text: str, linked: int, verdict: int | None):
+        self.path, self.text, self.linked, self.verdict = path, text, linked, verdict
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
 
+class Reader:
+    """Tags of a page from left to right, in time linear in its length whatever it holds.
 
-def _hidden_end(page: str, tag: str, at: int) -> tuple[int, int]:
-    """(start, end) of the tag that ends a hidden element; of a head also the body's start."""
-    found = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body[\s>])", re.I).search(page, at)
-    return (found.start(), found.end()) if found else (len(page), len(page))
+    Attributes are read as browsers do: a quote opens a value only right behind an equals sign, and
+    one that never closes is an ordinary character. A tag that never ends is closed at the next
+    angle bracket, like all tags behind it.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = {c: page.rfind(c) for c in "\"'>"}
+        self.naive = False
+        self.lacking: set[str] = set()  # end tags that do not come any more
+
+    def tag(self, at: int) -> tuple[str, str, bool, int] | None:
+        """(name, class and id and role, whether it closes itself, end) of the opening tag at ``at``."""
+        m = _NAME.match(self.page, at + 1)
+        if at > self.last[">"]:
+            return None
+        name, named, i, slash = m[0].lower(), [], m.end(), False
+        while not self.naive:
+            m = _ATTRIBUTE.match(self.page, i)
+            key, i = m[1], m.end()
+            if i >= len(self.page):
+                self.naive = True  # no end outside quotes, so none for any tag from here on
+                break
+            slash = not key and "/" in m[0]
+            if m[2]:
+                quote = self.page[i]
+                if quote in "\"'" and i < self.last[quote]:
+                    end = self.page.index(quote, i + 1)
+                    value, i = self.page[i + 1 : end], end + 1
+                else:
+                    value = _BARE.match(self.page, i)[0]
+                    i += len(value)
+                if key.lower() in _NAMING:
+                    named.append(value)
+            elif self.page[i] == ">":
+                return name, " ".join(named).lower(), slash, i + 1
+            elif not m[0]:
+                i += 1
+        end = self.page.index(">", at)
+        return name, "", self.page[end - 1] == "/", end + 1
+
+    def hidden_end(self, tag: str, at: int) -> int:
+        """End of the hidden element opened before ``at``; ``at`` itself where it never ends."""
+        if tag not in self.lacking:
+            pattern = r"</head\s*>|(?=<body[\s>])" if tag == "head" else rf"</{tag}\s*>"
+            found = re.compile(pattern, re.I).search(self.page, at)
+            if found:
+                return found.end()
+            self.lacking.add(tag)
+        return len(self.page) if tag in ("script", "style") else at
+
+
+def _words(tag: str, named: str) -> tuple[tuple[str, ...], int | None]:
+    """Words of an element, and what they say: 1 main text, 0 boilerplate, None nothing."""
+    tokens = [t for t in named.split() if not t.startswith(OF_PAGE)]
+    words = [w for t in tokens for w in _PART.findall(t)]
+    says = {tag, *words}
+    if says & CONTAINER:
+        return (f"<{tag}>",), None
+    verdict = 0 if says & NOT_MAIN else 1 if says & MAIN else None
+    return (f"<{tag}>", *words), verdict
 
 
 def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks of a page in order: path words, text (references decoded, white space joined), linked characters."""
+    """Leaf blocks of a page in order: path words, text (references decoded, white space joined),
+    linked characters, and what the nearest element that says anything makes of them.
+
+    A path holds the words of the NEAREST elements around a block, as far as the one that says
+    what it is, and of that one, however far out it is.
+    """
     page = page or ""
+    reader = Reader(page)
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack: list[tuple[str, tuple[str, ...], int | None, int]] = []  # tag, words, verdict, index of who gave it
+    opened: Counter = Counter()
     parts: list[str] = []
     at, links, linked = 0, 0, 0
 
@@ -85,7 +158,11 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(tuple(w for tag, words in stack for w in (f"<{tag}>", *words)), text, linked))
+            verdict, by = (stack[-1][2], stack[-1][3]) if stack else (None, -1)
+            near = stack[max(by, len(stack) - NEAREST, 0) :]
+            if 0 <= by < len(stack) - NEAREST:
+                near = [stack[by], *near]
+            out.append(Block(tuple(w for e in near for w in e[1]), text, linked, verdict))
         parts.clear()
         linked = 0
 
@@ -97,53 +174,75 @@ def blocks(page: str | None) -> list[Block]:
             if links:
                 linked += len(text)
 
+    def pop() -> None:
+        opened[stack.pop()[0]] -= 1
+
+    def past(mark: str, start: int) -> int:
+        end = page.find(mark, start)
+        return len(page) if end < 0 else end + len(mark)
+
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
+        start = page.find("<", at)
+        if start < 0:
             add(page[at:])
             break
-        add(page[at : m.start()])
-        at = m.end()
-        if m["cdata"] is not None:
-            parts.append(m["cdata"])
-        if not m["tag"]:
-            continue
-        tag = m["tag"].lower()
-        if tag in HIDDEN_TAGS:
-            if not m["end"] and not m["attrs"].endswith("/"):
-                flush()
-                at = _hidden_end(page, tag, at)[1]
-            continue
-        if tag in INLINE:
-            if tag == "br":
-                parts.append(" ")
-            elif tag == "a":
-                links = max(0, links - 1) if m["end"] else 1
-            continue
-        flush()
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    links = 0
-                    break
-        elif tag not in VOID and not m["attrs"].endswith("/"):
-            if tag in CLOSES_ITSELF and stack and stack[-1][0] == tag:
-                stack.pop()
-            elif stack and stack[-1][0] == "p":  # a block cannot be inside a paragraph
-                stack.pop()
-            named = " ".join(a or b or c for a, b, c in _NAMED.findall(m["attrs"])).lower() if m["attrs"] else ""
-            stack.append((tag, tuple(_PART.findall(named))))
+        add(page[at:start])
+        head = page[start + 1 : start + 2]
+        if page.startswith("<!--", start):
+            at = past("-->", start + 4)
+        elif page.startswith("<![CDATA[", start):
+            at = past("]]>", start)
+            parts.append(page[start + 9 : at].removesuffix("]]>"))
+        elif head in ("!", "?"):
+            at = past(">", start)
+        elif head == "/" and page[start + 2 : start + 3].isalpha() and start < reader.last[">"]:
+            at = page.index(">", start) + 1
+            tag = _NAME.match(page, start + 2)
+            tag = tag[0].lower() if tag else ""
+            if tag == "a":
+                links = 0
+            if tag in INLINE or tag in HIDDEN_TAGS:
+                continue
+            flush()
+            if opened[tag] > 0:
+                while stack[-1][0] != tag:
+                    pop()
+                pop()
+                links = 0
+        elif _NAME.match(head) and (found := reader.tag(start)):
+            tag, named, closed, at = found
+            if tag in HIDDEN_TAGS:
+                if not closed:
+                    flush()
+                    at = reader.hidden_end(tag, at)
+                continue
+            if tag in INLINE:
+                if tag == "br":
+                    parts.append(" ")
+                elif tag == "a":
+                    links = 1
+                continue
+            flush()
+            if tag not in VOID and not closed:
+                if stack and (stack[-1][0] == "p" or (tag in CLOSES_ITSELF and stack[-1][0] == tag)):
+                    pop()  # a block cannot be inside a paragraph
+                words, verdict = _words(tag, named)
+                if verdict is None and stack:
+                    verdict, by = stack[-1][2], stack[-1][3]
+                else:
+                    by = len(stack) if verdict is not None else -1
+                stack.append((tag, words, verdict, by))
+                opened[tag] += 1
+        else:
+            add("<")
+            at = start + 1
     flush()
     return out
 
 
 def teacher(block: Block) -> int | None:
     """1 main text, 0 boilerplate, None where the path does not say."""
-    words = {w.strip("<>") for w in block.path}
-    if words & NOT_MAIN:
-        return 0
-    return 1 if words & MAIN else None
+    return block.verdict
 
 
 def _bucket(word: str, dim: int) -> int:
@@ -291,8 +390,12 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def compose(texts: list[str], count: int = COMPOSED_PAGES) -> list[str]:
-    """Pages of many layouts from given block texts: what the teacher's words stand for, in any order."""
+def compose(texts: list[str], count: int = COMPOSED_PAGES) -> list[tuple[str, str]]:
+    """Pages of many layouts from given block texts: what the teacher's words stand for, in any order.
+
+    Each comes as it is to be read and as the teacher sees it; where these differ, elements of the
+    first are nameless, and their blocks are the same.
+    """
     if not texts:
         return []
     rng = np.random.default_rng(SEED)
@@ -311,50 +414,87 @@ def compose(texts: list[str], count: int = COMPOSED_PAGES) -> list[str]:
         lambda: f'<div class="comments">{few(1, 5, lambda: f"<p>{say(40)}</p>")}</div>',
     ]
     mains = ("article", "main", 'div class="content"', 'div id="content"', 'div class="post"', 'section class="entry"', 'div class="story"')
+    outer = ("", "", 'div class="wrapper"', 'div class="page sidebar-right has-comments"', "div", 'div id="site"')
     pages = []
-    for _ in range(count):
-        paragraph = lambda: f"<{one(['p', 'p', 'p', 'blockquote', 'h2', 'li', 'td'])}>{say(120)}"
-        main = one(mains)
-        article = f"<{main}><h1>{say(12)}</h1>{few(1, one([9, 9, 60]), paragraph)}</{main.split()[0]}>"
+    for k in range(count):
+        paragraph = lambda: f"<{one(['p', 'p', 'p', 'blockquote', 'h2', 'h3', 'li', 'td', 'pre', 'dd'])}>{say(120)}"
+        main, shell = one(mains), one(outer)
+        inset = f"<aside class=related><p>{say(15)}</p></aside>" if rng.random() < 0.3 else ""
+        body = f"<h1>{say(12)}</h1>{few(1, one([9, 9, 60]), paragraph)}{inset}{few(0, 5, paragraph)}"
         before, after = few(0, 4, lambda: one(around)()), few(0, 4, lambda: one(around)())
-        pages.append(f"<body>{before}{article}{after}<footer><p>&copy; {say(12)}</p></footer></body>")
+        end = f"<footer><p>&copy; {say(12)}</p></footer>"
+        inner = lambda tag: f"{before}<{tag}>{body}</{tag.split()[0]}>{after}{end}"
+        whole = lambda tag: f"<body><{shell}>{inner(tag)}</{shell.split()[0]}></body>" if shell else f"<body>{inner(tag)}</body>"
+        shown = f'div class="{one("abcdefgxyz")}{int(rng.integers(100))}"' if k % 3 == 0 else main
+        pages.append((whole(shown), whole(main)))
     return pages
 
 
-def train(pages: DataFrame) -> Labeller:
-    """A labeller fitted on at most SAMPLE_PAGES pages, those with the smallest hash, and on composed ones."""
-    usable = pages.filter(F.col("html").isNotNull())
-    chosen = smallest(usable, SAMPLE_PAGES, usable.count(), *pages.columns)
-    sample = [r["html"] for r in chosen.select("html").collect()]
-    parsed = [b for b in map(blocks, sample) if 0 < len(b) <= TRAIN_BLOCKS]
-    texts = [b.text for page in parsed for b in page]
-    parsed += [b for b in map(blocks, compose(texts)) if 0 < len(b) <= TRAIN_BLOCKS]
-    labeller = Labeller.fresh()
-    if not parsed:
-        return labeller
+def _windows(page: list, labels: np.ndarray) -> Iterator[tuple[list, np.ndarray]]:
+    """A long page in windows of WINDOW blocks, the last one of full size as well."""
+    for start in range(0, max(1, len(page)), WINDOW):
+        start = max(0, min(start, len(page) - WINDOW))
+        yield page[start : start + WINDOW], labels[start : start + WINDOW]
+
+
+def fit(sample: list[str]) -> Labeller | None:
+    """A labeller trained on these pages and on composed ones; None if they hold no block."""
     rng = np.random.default_rng(SEED)
-    known = [[teacher(b) for b in page] for page in parsed]
-    labels = [np.array([-1 if k is None else k for k in page], np.float32) for page in known]
-    labeller.train([describe(page, rng) for page in parsed], labels)
+    labelled = [(page, [teacher(b) for b in page]) for page in map(blocks, sample) if page]
+    for shown, seen in compose([b.text for page, _ in labelled for b in page]):
+        labelled.append((blocks(shown), [teacher(b) for b in blocks(seen)]))
+    windows = [
+        w for page, known in labelled for w in _windows(page, np.array([-1 if k is None else k for k in known], np.float32))
+    ]
+    if not windows:
+        return None
+    chosen = rng.permutation(len(windows))[:WINDOWS]
+    labeller = Labeller.fresh()
+    labeller.train([describe(windows[i][0], rng) for i in chosen], [windows[i][1] for i in chosen])
     return labeller
 
 
-def extract(pages: DataFrame, labeller: Labeller) -> DataFrame:
+def _fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    labeller = fit(sorted(page for batch in batches for page in batch["html"]))
+    if labeller is not None:
+        yield pd.DataFrame({"at": range(len(labeller.params)), "param": [p.tobytes() for p in labeller.params]})
+
+
+def train(pages: DataFrame) -> Labeller | None:
+    """A labeller fitted on at most SAMPLE_PAGES pages, those with the smallest hash, and on composed ones.
+
+    The sample meets in one task, which trains; the driver gets the weights. Without a page that
+    holds a block there is nothing to learn, and no labeller.
+    """
+    usable = pages.filter(F.col("html").isNotNull())
+    chosen = smallest(usable, SAMPLE_PAGES, usable.count(), *pages.columns).select("html")
+    rows = chosen.repartition(1).mapInPandas(_fitted, "at int, param binary").orderBy("at").collect()
+    if not rows:
+        return None
+    like = Labeller.fresh().params
+    return Labeller([np.frombuffer(r["param"], np.float32).reshape(p.shape) for r, p in zip(rows, like)])
+
+
+def extract(pages: DataFrame, labeller: Labeller | None) -> DataFrame:
     """``pages`` with text and n_chars (code points) in place of html.
 
     ``pages`` needs html; all other columns and every row stay. A null or empty page has the empty
     text, and so has a page without a block of main text. Nothing is capped: whole pages are read
-    and every block labelled as main text is kept.
+    and every block labelled as main text is kept. Without a labeller, every block is main text that
+    no element around it calls boilerplate.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(labeller.params)
+    shared = pages.sparkSession.sparkContext.broadcast(labeller and labeller.params)
 
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = Labeller(shared.value)
+        own = Labeller(shared.value) if shared.value else None
         for batch in batches:
             out = []
             for start in range(0, len(batch), 256):
                 parsed = [blocks(page) for page in batch.iloc[start : start + 256]]
-                marked = own.label([describe(page) if page else np.zeros((0, INPUT), np.float32) for page in parsed])
+                if own is None:
+                    marked = [np.array([b.verdict != 0 for b in page], float) for page in parsed]
+                else:
+                    marked = own.label([describe(page) if page else np.zeros((0, INPUT), np.float32) for page in parsed])
                 for page, p in zip(parsed, marked):
                     text = "\n".join(b.text for b, q in zip(page, p) if q >= 0.5)
                     out.append((text, len(text)))

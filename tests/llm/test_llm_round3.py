@@ -5,13 +5,14 @@ import hashlib
 import os
 import random
 import re
+import time
 import unicodedata
 import zlib
 
 import numpy as np
 import pytest
 
-from stopwise.llm import divergence, registry, secrets, toxicity, trie, whitening
+from stopwise.llm import divergence, htmltext, registry, secrets, toxicity, trie, whitening
 
 SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
@@ -451,3 +452,80 @@ def test_toxicity_scores_equal_a_plain_scorer(spark):
         size = np.sqrt(sum(np.log1p(c) ** 2 for c in counts.values()))
         z = model.bias + sum(model.weights[p] * np.log1p(c) / size for p, c in counts.items())
         assert r["score"] == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+# --- HTML
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, '<a b=">"' * 60_000, "</b " * 200_000, "<div>x" * 40_000, "<svg>" * 100_000, "<p a='" * 100_000,
+     "<" * 500_000, "</q>" * 100_000 + "<div>" * 20_000 + "</p>" * 50_000, "<!--" * 100_000, '<p x="' + "<p x='>" * 50_000],
+)
+def test_hostile_markup_takes_linear_time(page):
+    start = time.process_time()
+    htmltext.blocks(page)
+    assert time.process_time() - start < 8
+
+
+def test_quotes_open_values_only_where_they_close():
+    texts = lambda page: [b.text for b in htmltext.blocks(page)]
+    assert texts("<p data-x=it's>three</p><p>four isn't</p>") == ["three", "four isn't"]
+    assert texts("<p title='a > b' class=\"x>y\">one<p a = 'never>two</p>") == ["one", "two"]
+    assert texts("a < b <3 <p>c</p><br/>d<") == ["a < b <3", "c", "d<"]
+    assert texts("<select>lost<p>kept</p>") == ["lost", "kept"] and texts("<script>lost<p>lost</p>") == []
+
+
+@pytest.fixture(scope="module")
+def labeller(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html")
+    return htmltext.train(pages)
+
+
+def prose(rnd):
+    return " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) for _ in range(rnd.randint(12, 60))) + "."
+
+
+@given
+@pytest.mark.parametrize(
+    "open_, close",
+    [("<div class='wrapper sidebar-right has-comments'><article>", "</article></div>"), ("<div class='x1'>", "</div>"),
+     ("<div class='has-sidebar'><div class='page with-ads'><div class='q7'>", "</div></div></div>"),
+     ("<article>", "</article>"), ("<main id=main>", "</main>")],
+)
+def test_articles_of_unseen_names_are_found(labeller, open_, close):
+    rnd, right, total = random.Random(3), 0, 0
+    for _ in range(40):
+        paragraphs = [prose(rnd) for _ in range(rnd.randint(4, 9))]
+        inner = "<h1>" + prose(rnd)[:30] + "</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+        around = "<nav><ul><li><a href=x>home</a></li><li><a href=y>news</a></li></ul></nav>"
+        page = htmltext.blocks(f"<body>{around}{open_}{inner}{close}<footer><p>copyright</p></footer></body>")
+        marked = labeller.label([htmltext.describe(page)])[0] >= 0.5
+        want = np.array([False] * 2 + [True] * (len(paragraphs) + 1) + [False])
+        right += (marked == want).sum()
+        total += len(want)
+    assert right >= 0.95 * total
+
+
+@given
+def test_lists_and_code_of_an_article_stay_and_related_boxes_go(labeller):
+    rnd = random.Random(4)
+    a, b, c, d = (prose(rnd) for _ in range(4))
+    page = htmltext.blocks(
+        f"<article><p>{a}</p><ul><li>{b}</li><li>{c}</li></ul><pre>{d}</pre>"
+        f"<aside class='related'><p>{prose(rnd)}</p></aside><p>{a}</p></article>"
+    )
+    assert (labeller.label([htmltext.describe(page)])[0] >= 0.5).tolist() == [True] * 4 + [False, True]
+
+
+def test_long_pages_teach_too_and_nothing_teaches_nothing(spark):
+    rnd = random.Random(5)
+    nav = "<nav><ul><li><a href=x>home</a></li></ul></nav>"
+    texts = [prose(rnd) for _ in range(130)]
+    page = f"<body>{nav}<article>{''.join(f'<p>{t}</p>' for t in texts)}</article><footer>end</footer></body>"
+    schema = "page_id long, html string"
+    df = spark.createDataFrame([(i, page) for i in range(20)], schema)
+    got = htmltext.extract(df, htmltext.train(df)).collect()
+    assert {r["text"] for r in got} == {"\n".join(texts)}
+    assert htmltext.train(df.limit(0)) is None and htmltext.train(spark.createDataFrame([(1, ""), (2, None)], schema)) is None
+    assert {r["text"] for r in htmltext.extract(df, None).collect()} == {"\n".join(texts)}
