@@ -399,16 +399,25 @@ def progression_extremes(progression: DataFrame, stop: str, first: int = 5) -> D
 
 def station_progression(star: Star, train_number: int | None = None) -> DataFrame:
     """ANA-18. Mean delay per train and station, in order of earliest scheduled offset."""
-    offset = F.timestamp_diff(
-        "SECOND", F.col("date").cast("timestamp_ntz"), F.col("scheduled_time")
+    per_day = (
+        _of_train(star, train_number)
+        .groupBy("train_number", F.col("station_short_code").alias("scode"), "date_key")
+        .agg(
+            F.min("scheduled_time").alias("first_time"),
+            F.sum("delay_minutes").alias("minutes"),
+            F.count("delay_minutes").alias("known"),
+            F.count("*").alias("n"),
+        )
     )
+    # A day's offset is least where its time is: dates are looked up on one row per stop and day.
+    offset = F.timestamp_diff("SECOND", F.col("date").cast("timestamp_ntz"), F.col("first_time"))
     return (
-        with_date(_of_train(star, train_number), star)
-        .groupBy("train_number", F.col("station_short_code").alias("scode"))
+        with_date(per_day, star)
+        .groupBy("train_number", "scode")
         .agg(
             F.min(offset).alias("first_offset_seconds"),
-            F.avg("delay_minutes").alias("avg_delay"),
-            F.count("*").alias("n"),
+            (F.sum("minutes") / F.nullif(F.sum("known"), F.lit(0))).alias("avg_delay"),
+            F.sum("n").alias("n"),
         )
         .orderBy("train_number", "first_offset_seconds", "scode")
     )

@@ -71,9 +71,14 @@ def scan_landing(spark: SparkSession, root: str, days: list[dt.date] | None = No
     body that is no array is read as the only element of one: whether it parses and whether it is
     an array are different questions.
     """
+    bodies = _on_days(spark.read.text(root, wholetext=True), days)
+    return parsed_bodies(bodies.select("*", "_metadata"))
+
+
+def parsed_bodies(bodies: DataFrame) -> DataFrame:
+    """The same from bodies read already: (date, value, _metadata), a row per file."""
     documents = T.StructField("docs", T.ArrayType(schemas.TRAINS))
     schema = T.StructType([documents, T.StructField(_CORRUPT, T.StringType())])
-    bodies = _on_days(spark.read.text(root, wholetext=True), days)
     body = F.col("value")
     is_array = body.rlike(r"^\s*\[")
     whole = F.when(is_array, body).otherwise(F.concat(F.lit("["), body, F.lit("]")))

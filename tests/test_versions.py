@@ -269,3 +269,46 @@ def test_a_landing_is_read_once_for_outcomes_and_documents(spark, tmp_path, land
     names = [*schemas.TRAINS.names, "date"]
     by_scan = scanned.filter("date IN ('2024-03-10', '2024-03-12', '2024-03-23')").select(names)
     assert by_scan.exceptAll(by_reader.select(names)).isEmpty() and by_scan.count() == by_reader.count()
+
+
+def test_the_stream_parses_once_and_survives_kills_between_the_grains(spark, tmp_path, landed, monkeypatch):
+    from stopwise.operators import staging
+    from stopwise.streaming import new_days
+
+    out, seen = str(tmp_path / "staged"), str(tmp_path / "seen")
+
+    def run():
+        new_days.stage_new_batches(new_days.read_new_bodies(spark, str(landed)), out, seen)
+        events = new_days.staged(spark, out, new_days.EVENTS)
+        return events.count(), events.select("event_key").distinct().count(), new_days.staged(spark, out, new_days.CAUSES).count()
+
+    whole = read_documents(spark, str(landed))
+    want = staging.timetable_events(whole).count(), staging.delay_causes(whole).count()
+    inner = staging.delay_causes
+
+    def killed(documents):
+        raise RuntimeError("killed between the grains")
+
+    monkeypatch.setattr(new_days.staging, "delay_causes", killed)
+    with pytest.raises(Exception, match="killed"):
+        run()
+    monkeypatch.setattr(new_days.staging, "delay_causes", inner)
+    assert run() == (want[0], want[0], want[1])
+    assert run() == (want[0], want[0], want[1])
+
+    land(landed, "2024-03-12", days()["2024-03-12"], "again.json.gz")  # the same body under another name
+    land(landed, "2024-03-15", "[{")  # a bad one
+    new = [train("2024-03-16", 1, [row("HKI", "ARRIVAL", "2024-03-16T05:00:00.000Z", None, 1, causes=[cause("E")])])]
+    land(landed, "2024-03-16", new, "a.json.gz")
+    land(landed, "2024-03-16", new, "b.json.gz")  # twice in one batch
+    assert run() == (want[0] + 1, want[0] + 1, want[1] + 1)
+    assert len(list((tmp_path / "staged" / "documents").glob("batch=*"))) == 2
+
+
+def test_an_empty_landing_stages_nothing(spark, tmp_path):
+    from stopwise.streaming import new_days
+
+    land(tmp_path / "landing", "2024-03-12", "[]")
+    bodies = new_days.read_new_bodies(spark, str(tmp_path / "landing"))
+    new_days.stage_new_batches(bodies, str(tmp_path / "out"), str(tmp_path / "seen"))
+    assert not list((tmp_path / "out").glob("events/batch=*/source_ingest_date=*"))
