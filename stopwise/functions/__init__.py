@@ -8,7 +8,7 @@ from stopwise.functions.columns import (
     round_half_away,
     shifted_hour,
 )
-from stopwise.functions.numbering import number_rows, number_within
+from stopwise.functions.numbering import number_rows, number_within, running_total
 
 __all__ = [
     "calendar_columns",
@@ -18,5 +18,6 @@ __all__ = [
     "number_within",
     "on_time_flag",
     "round_half_away",
+    "running_total",
     "shifted_hour",
 ]

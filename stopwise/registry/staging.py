@@ -12,8 +12,12 @@ from stopwise.plans.reports import findings, write_report
 from stopwise.registry.sample import Sample
 from stopwise.registry.sql import over
 from stopwise.sources import documents as src
+from stopwise.sources import sample_tables as bind
 from stopwise.storage import save
 
+#: Small bins, so that a date of the given tables has several.
+BIN_BYTES = 16 << 10
+
 
 def _documents_scan(s: Sample) -> DataFrame:
     return s.json_documents.select(
@@ -107,6 +111,27 @@ def _landing_files(s: Sample) -> DataFrame:
     )
 
 
+def _landing_bins(s: Sample) -> DataFrame:
+    """Documents landed as lines: per date, files whose size is off, and what is read back."""
+    root = s.scratch("lines")
+    src.write_landing_lines(bind.as_landed(s.documents), root, BIN_BYTES)
+    lines = s.spark.read.text(root).select(
+        F.col("_metadata.file_path").alias("file"), src.path_date(F.col("_metadata.file_path")).alias("date"),
+        (F.octet_length("value") + 1).alias("bytes"),
+    )
+    files = lines.groupBy("date", "file").agg(F.sum("bytes").alias("size"), F.max("bytes").alias("largest"))
+    small = F.col("size") < BIN_BYTES - F.col("largest")
+    per_date = files.groupBy("date").agg(
+        F.count_if(F.col("size") >= BIN_BYTES + F.col("largest")).alias("oversized"),
+        (F.greatest(F.count_if(small), F.lit(1)) - 1).alias("undersized"),  # the last file of a date may be
+    )
+    read = src.read_document_lines(s.spark, root)
+    rows = read.groupBy("date").agg(
+        F.count("*").alias("documents"), F.sum(F.size("timeTableRows").cast("bigint")).alias("events")
+    )
+    return per_date.join(rows, "date")
+
+
 def _profile_scratch(s: Sample) -> DataFrame:
     stored = save(s.raw_events, f"{s.scratch('profile')}/raw_events")
     return stored.groupBy("station_short_code", "event_type").agg(
@@ -196,6 +221,7 @@ QUERIES = {
     "src_11_first_full_record": _first_full_record,
     "snk_1_staging_view": _staging_view,
     "snk_2_partitioned_fact": _partitioned_fact,
+    "snk_3_landing_bins": _landing_bins,
     "snk_3_landing_files": _landing_files,
     "snk_4_profile_scratch": _profile_scratch,
     "snk_5_report_tables": _report_tables,
@@ -310,6 +336,7 @@ ORACLES = {
     "snk_2_partitioned_fact": over(
         "SELECT source_ingest_date, count(*) AS n FROM fct GROUP BY 1"
     ),
+    "snk_3_landing_bins": _landing_bins,
     "snk_3_landing_files": over(
         """
         SELECT ingest_date AS date, count(DISTINCT slice) AS files,
@@ -317,6 +344,13 @@ ORACLES = {
         FROM raw GROUP BY 1
         """
     ),
+    "snk_3_landing_bins": over(
+        """
+        SELECT ingest_date AS date, 0 AS oversized, 0 AS undersized,
+               count(DISTINCT (train_number, slice)) AS documents, count(*) AS events
+        FROM raw GROUP BY 1
+        """
+    ),
     "snk_4_profile_scratch": over(
         """
         SELECT station_short_code, event_type, count(*) AS n,

@@ -3,7 +3,8 @@
 A landed day is a folder ``date=YYYY-MM-DD`` of gzipped JSON arrays. Spark reads
 each such file in one task, since neither gzip nor a JSON array can be split, so
 the landing writer bounds the number of documents per file; a day is as many
-files as it needs.
+files as it needs. A landing of our own is better written as lines, in bins of
+a good file size that Spark splits as it likes.
 """
 
 from __future__ import annotations
@@ -13,10 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stopwise import schemas
+from stopwise.functions import number_rows, running_total
+from stopwise.storage import ensure_checkpoint_dir
 
 # Fixed value: how a service date is spelled in a landed path.
 PATH_DATE = r"date=([0-9-]+)"
 
+#: Decoded bytes of a landed file of lines, about.
+LANDED_BYTES = 128 << 20
+
 
 def read_documents(
     spark: SparkSession, root: str, schema: T.StructType = schemas.TRAINS
@@ -125,6 +131,48 @@ def write_landing(arrays: DataFrame, root: str) -> None:
     )
 
 
+def in_bins(documents: DataFrame, target_bytes: int = LANDED_BYTES) -> DataFrame:
+    """(``date``, ``doc``, ``bin``): documents as JSON text, dealt into bins of some ``target_bytes``.
+
+    A date's documents are laid end to end, in the order of their checksums, and cut every
+    ``target_bytes``, so a bin holds at most that and one document more. Prefix sums over ranges find
+    the cuts; no date or bin is collected. Bins are numbered over all dates.
+    """
+    fields = [c for c in documents.columns if c != "date"]
+    text = documents.select("date", F.to_json(F.struct(*fields)).alias("doc"))
+    rows = text.withColumn("bytes", F.octet_length("doc") + 1).withColumn("mark", F.xxhash64("doc"))
+    placed = running_total(rows, "start", "bytes", ["date", "mark", "doc"], ["date"])
+    cut = placed.withColumn("cut", F.floor(F.col("start") / target_bytes)).drop("start", "mark", "bytes")
+    bins = number_rows(cut.select("date", "cut").distinct(), "bin", ["date", "cut"])  # one row per bin
+    same = F.col("r.date").eqNullSafe(F.col("b.date")) & (F.col("r.cut") == F.col("b.cut"))
+    return cut.alias("r").join(bins.alias("b"), same).select("r.date", "r.doc", (F.col("b.bin") - 1).alias("bin"))
+
+
+def write_landing_lines(documents: DataFrame, root: str, target_bytes: int = LANDED_BYTES) -> None:
+    """SNK-3. Land documents as lines of JSON, a file per bin; readers may split any file.
+
+    A date that is written again replaces its earlier folder.
+    """
+    ensure_checkpoint_dir(documents.sparkSession)
+    binned = in_bins(documents, target_bytes).checkpoint()
+    count = binned.agg(F.max("bin")).first()[0]
+    dealt = binned if count is None else binned.repartitionById(count + 1, F.col("bin").cast("int"))
+    (
+        dealt.select("date", F.col("doc").alias("value"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .text(root)
+    )
+
+
+def read_document_lines(
+    spark: SparkSession, root: str, schema: T.StructType = schemas.TRAINS
+) -> DataFrame:
+    """SRC-1. Scan documents landed as lines: files are split, and no body is held as a whole."""
+    return spark.read.schema(schema).json(root)
+
+
 def json_arrays(documents: DataFrame, bounded_by: list[str]) -> DataFrame:
     """Pack documents into JSON arrays, one per ``date`` and ``bounded_by`` group.
 

@@ -312,3 +312,34 @@ def test_an_empty_landing_stages_nothing(spark, tmp_path):
     bodies = new_days.read_new_bodies(spark, str(tmp_path / "landing"))
     new_days.stage_new_batches(bodies, str(tmp_path / "out"), str(tmp_path / "seen"))
     assert not list((tmp_path / "out").glob("events/batch=*/source_ingest_date=*"))
+
+
+def test_running_totals_of_a_hot_group(spark):
+    from stopwise.functions import running_total
+
+    rows = [("hot" if i % 3 else None, i, i % 7) for i in range(3000)] + [("cold", 5000, 1)]
+    df = spark.createDataFrame(rows, "g string, i int, v int").repartition(5)
+    got = {(r["g"], r["i"]): r["t"] for r in running_total(df, "t", "v", ["g", "i"], ["g"]).collect()}
+    for group in ("hot", None, "cold"):
+        total = 0
+        for g, i, v in sorted((r for r in rows if r[0] == group), key=lambda r: r[1]):
+            assert got[(g, i)] == total
+            total += v
+
+
+def test_landed_lines_are_cut_at_the_target(spark, tmp_path, landed):
+    from stopwise.sources import documents as src
+
+    docs = read_documents(spark, str(landed))
+    many = docs.unionByName(docs).unionByName(docs)
+    root = str(tmp_path / "lines")
+    src.write_landing_lines(many, root, 2000)
+    again = src.read_document_lines(spark, root)
+    assert again.select(many.columns).exceptAll(many).isEmpty() and again.count() == many.count()
+    longest = max(len(line) for f in (tmp_path / "lines").glob("date=*/part*") for line in f.read_text().splitlines())
+    by_date = {}
+    for f in (tmp_path / "lines").glob("date=*/part*"):
+        by_date.setdefault(f.parent.name, []).append(f.stat().st_size)
+    for sizes in by_date.values():
+        assert max(sizes) < 2000 + longest + 1 and sum(s < 2000 - longest for s in sizes) <= 1
+    src.write_landing_lines(many.limit(0), str(tmp_path / "none"), 2000)
