@@ -45,7 +45,8 @@ CARGO = ("Cargo",)
 class Star:
     """The tables the questions read.
 
-    ``base`` is the stored common population, when several questions share it.
+    ``base`` is the stored common population, when several questions share it; ``counts`` the
+    stored counts of arrivals by minute, from which distributions are read instead of the fact.
     """
 
     events: DataFrame
@@ -55,6 +56,7 @@ class Star:
     date: DataFrame
     cause: DataFrame
     base: DataFrame | None = None
+    counts: DataFrame | None = None
 
     @classmethod
     def of(cls, warehouse) -> "Star":
@@ -65,6 +67,7 @@ class Star:
             train_type=warehouse.dim_train_type,
             date=warehouse.dim_date,
             cause=warehouse.dim_cause,
+            counts=warehouse.delay_counts,
         )
 
     def with_stored_base(self, path: str) -> "Star":
@@ -145,8 +148,17 @@ def _measures(settings: Settings) -> list[Column]:
     ]
 
 
-def _delay_counts(rows: DataFrame, *by: str) -> DataFrame:
-    return rows.groupBy(*by, "delay_minutes").agg(F.count("*").alias("rows"))
+def _delay_counts(star: Star, *by: str) -> DataFrame:
+    """The population counted by ``by`` and minute of delay, from stored counts where there are any."""
+    if star.counts is None:
+        return arrivals(star).groupBy(*by, "delay_minutes").agg(F.count("*").alias("rows"))
+    realised = star.counts.filter(
+        F.col("has_actual_time")
+        & F.col("is_plausible_delay")
+        & F.col("train_type_key").isNotNull()
+        & F.col("date_key").isNotNull()
+    )
+    return realised.groupBy(*by, "delay_minutes").agg(F.sum("rows").alias("rows"))
 
 
 def _known_rows() -> Column:
@@ -333,7 +345,7 @@ def by_category(
     ``floor`` keeps categories with more arrivals than that; pass -1 for all.
     """
     floor = settings.category_min_arrivals if floor is None else floor
-    counts = with_train_type(_delay_counts(arrivals(star), "train_type_key"), star)
+    counts = with_train_type(_delay_counts(star, "train_type_key"), star)
     n, delay = F.col("rows"), _delay()
     known = F.sum(F.when(delay.isNotNull(), n))
     return (
@@ -470,12 +482,7 @@ def day_extremes(star: Star, settings: Settings = Settings()) -> DataFrame:
 def delay_histogram(star: Star, settings: Settings = Settings()) -> DataFrame:
     """ANA-22. Arrivals per whole minute inside the clip, empty minutes included."""
     low, high = settings.histogram_low, settings.histogram_high
-    counts = (
-        arrivals(star)
-        .filter(_delay().between(low, high))
-        .groupBy("delay_minutes")
-        .agg(F.count("*").alias("n"))
-    )
+    counts = _delay_counts(star).filter(_delay().between(low, high)).withColumnRenamed("rows", "n")
     bins = star.events.sparkSession.range(low, high + 1).withColumnRenamed("id", "delay_minutes")
     return (
         bins.join(counts, "delay_minutes", "left")
@@ -487,10 +494,14 @@ def delay_histogram(star: Star, settings: Settings = Settings()) -> DataFrame:
 def delay_tails(star: Star, settings: Settings = Settings()) -> DataFrame:
     """ANA-23. Arrivals beyond the clip on either side, their shares, the maximum."""
     d = _delay()
-    totals = arrivals(star).agg(
-        F.count(d).alias("n"),
-        F.count_if(d > settings.histogram_high).alias("above"),
-        F.count_if(d < settings.histogram_low).alias("below"),
+
+    def known(where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col("rows"))), F.lit(0))
+
+    totals = _delay_counts(star).agg(
+        known(d.isNotNull()).alias("n"),
+        known(d > settings.histogram_high).alias("above"),
+        known(d < settings.histogram_low).alias("below"),
         F.max(d).alias("max_delay"),
     )
     n = F.nullif(F.col("n"), F.lit(0))
@@ -508,7 +519,7 @@ def delay_quantiles(star: Star) -> DataFrame:
     """ANA-24. Exact median and 95th percentile, interpolated."""
     p = F.percentile(_delay(), F.array(F.lit(0.5), F.lit(0.95)), _known_rows())
     return (
-        _delay_counts(arrivals(star))
+        _delay_counts(star)
         .agg(p.alias("p"))
         .select(F.col("p")[0].alias("median_delay"), F.col("p")[1].alias("p95_delay"))
     )

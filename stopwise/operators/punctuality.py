@@ -13,6 +13,20 @@ def commercial_arrivals(events: DataFrame) -> DataFrame:
     return events.filter((F.col("event_type") == "ARRIVAL") & F.col("is_commercial_stop"))
 
 
+COUNTED = [
+    "station_key", "date_key", "train_type_key", "is_cancelled", "has_actual_time", "is_plausible_delay", "delay_minutes",
+]
+
+
+def delay_counts(events: DataFrame) -> DataFrame:
+    """Commercial arrivals counted by station, date, train type, flags and whole minute of delay.
+
+    An exact histogram: every percentile, tail and on-time rate of these arrivals, at any
+    threshold, comes from its ``rows``, and those of a coarser group from sums of them.
+    """
+    return commercial_arrivals(events).groupBy(*COUNTED).agg(F.count("*").alias("rows"))
+
+
 def station_punctuality(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """AGG-1. Arrivals at commercial stops by station and date.
 
@@ -20,20 +34,21 @@ def station_punctuality(events: DataFrame, settings: Settings = Settings()) -> D
     combining. The second step then sees at most one row per distinct delay, so
     the exact median is cheap and a hub station cannot swamp one task.
     """
+    return punctuality_of_counts(delay_counts(events), settings)
+
+
+def punctuality_of_counts(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """AGG-1 from the stored counts, without the fact."""
     measured = (
         F.col("has_actual_time") & F.col("is_plausible_delay") & ~F.col("is_cancelled")
     )
-    counts = (
-        commercial_arrivals(events)
-        .groupBy(
-            "station_key",
-            "date_key",
-            "is_cancelled",
-            measured.alias("measured"),
-            F.when(measured, F.col("delay_minutes")).alias("delay"),
-        )
-        .agg(F.count("*").alias("n"))
-    )
+    counts = rows.groupBy(
+        "station_key",
+        "date_key",
+        "is_cancelled",
+        measured.alias("measured"),
+        F.when(measured, F.col("delay_minutes")).alias("delay"),
+    ).agg(F.sum("rows").alias("n"))
     n, delay = F.col("n"), F.col("delay")
     known = delay.isNotNull()
     on_time = delay < settings.on_time_minutes

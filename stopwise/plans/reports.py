@@ -77,7 +77,7 @@ def profile(warehouse: Warehouse) -> dict[str, DataFrame]:
         "cause_codes": prf.cause_code_frequency(warehouse.stg_delay_causes),
         "late_events_with_cause": prf.late_events_with_cause(events, settings),
         "relation_counts": prf.relation_counts(
-            {name: getattr(warehouse, name) for name in warehouse.TABLES[:-1]}
+            {name: getattr(warehouse, name) for name in warehouse.STAR}
         ),
         "unknown_members": prf.unknown_member_rows(
             warehouse.fct_timetable_events, warehouse.fct_delay_causes

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from stopwise.plans.checks import EVENT_TYPES, check_results, declared_checks
 from stopwise.registry.sample import Sample
 from stopwise.registry.sql import over
 
+OTHER_THRESHOLD = 3
+
 
 def _station_lookup(s: Sample) -> DataFrame:
     found = facts.lookup_station(s.warehouse.stg_timetable_events, s.warehouse.dim_station)
@@ -112,6 +116,14 @@ def _all_checks(s: Sample) -> DataFrame:
     return check_results(checks, s.warehouse)
 
 
+def _other_threshold(s: Sample) -> DataFrame:
+    """Punctuality at another threshold, from the stored counts."""
+    settings = replace(s.settings, on_time_minutes=OTHER_THRESHOLD)
+    return punctuality.punctuality_of_counts(s.warehouse.delay_counts, settings).select(
+        "station_key", "date_key", "scheduled_arrivals", "on_time_events", "on_time_rate", "median_delay_minutes"
+    )
+
+
 QUERIES = {
     "fct_1_station_lookup": _station_lookup,
     "fct_2_train_type_lookup": _train_type_lookup,
@@ -123,6 +135,7 @@ QUERIES = {
     "agg_1_station_punctuality": lambda s: punctuality.station_punctuality(
         s.warehouse.fct_timetable_events, s.settings
     ),
+    "agg_1_from_counts": _other_threshold,
     "agg_2_pooled_by_station": _pooled_by_station,
     "agg_2_pooled_network": _pooled_network,
     "dq_1_unique": _duplicate_line_items,
@@ -321,6 +334,18 @@ ORACLES = {
     ),
     "fct_7_delay_causes": over("SELECT * EXCLUDE (source_ingest_date) FROM fct_causes"),
     "agg_1_station_punctuality": over("SELECT * FROM punctuality"),
+    "agg_1_from_counts": over(
+        f"""
+        SELECT station_key, date_key, count(*) AS scheduled_arrivals,
+               count(*) FILTER (WHERE ok AND delay_minutes < {OTHER_THRESHOLD}) AS on_time_events,
+               round(count(*) FILTER (WHERE ok AND delay_minutes < {OTHER_THRESHOLD})
+                     / nullif(count(*) FILTER (WHERE ok), 0), 4) AS on_time_rate,
+               median(delay_minutes) FILTER (WHERE ok) AS median_delay_minutes
+        FROM (SELECT *, has_actual_time AND is_plausible_delay AND NOT is_cancelled AS ok FROM fct
+              WHERE event_type = 'ARRIVAL' AND is_commercial_stop)
+        GROUP BY 1, 2
+        """
+    ),
     "agg_2_pooled_by_station": over(_POOLED.format(keys="station_key,", tail="GROUP BY 1")),
     "agg_2_pooled_network": over(_POOLED.format(keys="", tail="")),
     "dq_1_unique": """

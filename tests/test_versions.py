@@ -343,3 +343,34 @@ def test_landed_lines_are_cut_at_the_target(spark, tmp_path, landed):
     for sizes in by_date.values():
         assert max(sizes) < 2000 + longest + 1 and sum(s < 2000 - longest for s in sizes) <= 1
     src.write_landing_lines(many.limit(0), str(tmp_path / "none"), 2000)
+
+
+def test_distributions_are_read_from_stored_counts(spark, tmp_path, landed):
+    from dataclasses import replace
+
+    from stopwise.operators import analysis as ana
+    from stopwise.operators import punctuality
+    from stopwise.operators.analysis import Star
+
+    warehouse = Warehouse(sources(spark, landed), str(tmp_path / "warehouse"), LENIENT)
+    build(warehouse)
+    star = Star.of(warehouse)
+    for question in (
+        lambda s: ana.by_category(s, LENIENT, floor=-1), lambda s: ana.delay_histogram(s, LENIENT),
+        lambda s: ana.delay_tails(s, LENIENT), ana.delay_quantiles,
+    ):
+        got, want = question(star), question(replace(star, counts=None))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        read = {f.split("/warehouse/")[1].split("/")[0] for f in got.inputFiles()}
+        assert "delay_counts" in read and "fct_timetable_events" not in read
+    assert warehouse.agg_station_punctuality.exceptAll(
+        punctuality.station_punctuality(warehouse.fct_timetable_events, LENIENT)
+    ).isEmpty()
+    settled = days()["2024-03-12"]
+    settled[0]["timeTableRows"][1]["differenceInMinutes"] = 2
+    land(landed, "2024-03-12", settled)
+    refresh_days(warehouse, read_documents(spark, str(landed)), [dt.date(2024, 3, 12)])
+    assert warehouse.delay_counts.exceptAll(punctuality.delay_counts(warehouse.fct_timetable_events)).isEmpty()
+    assert warehouse.delay_counts.agg(F.sum("rows")).first()[0] == punctuality.commercial_arrivals(
+        warehouse.fct_timetable_events
+    ).count()
