@@ -3,7 +3,10 @@
 DataFrame operations only. Slot k of the schedule has the point k * A mod M of a golden-ratio
 sequence; the cumulative targets of the sources cut [0, M) into intervals, and the interval a
 point falls into names the slot's source. The j-th slot of a source takes the j-th block of that
-source's line of tokens: its documents in hashed order, repeated as often as needed.
+source's line of tokens: its documents in hashed order, repeated as often as needed. Slots beyond a
+source's target are passed over, its last block is cut at the target, and a source whose interval
+has met too few points, as a small one may, is served afterwards, so every source is given its
+target to the word.
 """
 
 from __future__ import annotations
@@ -24,9 +27,8 @@ BLOCK = 64
 #: The golden-ratio step over M = 2^31 points; odd, so a period meets every point once.
 POINTS = 1 << 31
 STEP = 1_327_217_885
-#: Cells the points are joined in, and hashed buckets a source's documents are laid out in.
-CELLS = 1 << 12
-BUCKETS = 1 << 10
+#: Rows that are put in order together, about: of slots, of points in a cell, of a hot source's documents.
+ROWS = 1 << 16
 
 
 def n_words(text: Column) -> Column:
@@ -73,11 +75,17 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_REPEATS) -> Data
     return rows.select("source", "source_size", target.cast("double").alias("target"), "__rank")
 
 
+def stop(target: Column) -> Column:
+    """Words a source is given: its target, to the nearest word."""
+    return F.round(target).cast("bigint")
+
+
 def schedule(shares: DataFrame, total: int, block: int = BLOCK) -> DataFrame:
     """(slot, source_no, turn): which source's which block fills each slot of the mix.
 
     ``shares`` has source_no and target. Slots and cumulative targets meet in cells of the point
-    range, so neither side is held whole anywhere.
+    range, so neither side is held whole anywhere. A source has the turns its target takes: those
+    its points lack fill slots of their own after the others.
     """
     spark = shares.sparkSession
     upto = F.sum("target").over(W.partitionBy("__part").orderBy("__rank"))
@@ -94,24 +102,32 @@ def schedule(shares: DataFrame, total: int, block: int = BLOCK) -> DataFrame:
         edge(F.col("__before") + F.col("__upto") - F.col("target")).alias("lo"),
         edge(F.col("__before") + F.col("__upto")).alias("hi"),
     ).filter("lo < hi")
-    width = POINTS // CELLS
+    slots = -(-total // block)
+    width = POINTS // min(POINTS, 1 << max(0, (slots // ROWS).bit_length()))
     cells = cuts.select(
         "*", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("cell")
     )
-    slots = -(-total // block)
     point = (F.col("id") % POINTS) * STEP % POINTS
     points = spark.range(slots).select(F.col("id").alias("slot"), point.alias("point"))
     points = points.withColumn("cell", F.floor(F.col("point") / width))
     placed = points.join(
         cells, (points["cell"] == cells["cell"]) & (F.col("point") >= F.col("lo")) & (F.col("point") < F.col("hi"))
     ).select("slot", "source_no")
-    return _ranked(placed, "source_no", "slot", "turn", slots)
+    turns = kept(_ranked(placed, "source_no", "slot", "turn"))
+    needed = shares.select("source_no", F.ceil(stop(F.col("target")) / block).alias("needed"))
+    had = turns.groupBy("source_no").agg(F.count("*").alias("had"))
+    lacking = (
+        needed.join(had, "source_no", "left").withColumn("had", F.coalesce("had", F.lit(0))).filter("had < needed")
+    )
+    late = lacking.select("source_no", F.explode(F.sequence("had", F.col("needed") - 1)).alias("turn"))
+    late = number_rows(late, "late", ["source_no", "turn"])
+    late = late.select((F.col("late") + (slots - 1)).alias("slot"), "source_no", "turn")
+    return turns.join(needed, "source_no").filter("turn < needed").select("slot", "source_no", "turn").unionByName(late)
 
 
-def _ranked(df: DataFrame, group: str, order: str, name: str, upper: int) -> DataFrame:
+def _ranked(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
     """Rank from 0 within a group, laid out in ranges of the order so that no group is one task."""
-    span = max(1, -(-upper // BUCKETS))
-    cut = df.withColumn("__b", F.floor(F.col(order) / span))
+    cut = df.withColumn("__b", F.floor(F.col(order) / ROWS))
     local = cut.withColumn("__l", F.row_number().over(W.partitionBy(group, "__b").orderBy(order)))
     before = F.coalesce(
         F.sum("n").over(W.partitionBy(group).orderBy("__b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
@@ -126,12 +142,13 @@ def laid_out(docs: DataFrame) -> tuple[DataFrame, int]:
     """(documents, total words): every document's place in its source's shuffled line of words.
 
     Columns: doc_id, source, size, source_no, source_size, target, offset. The order is that of a
-    hash of the id, so reruns agree; a line is laid out in hashed buckets, a hot source in many.
+    hash of the id, so reruns agree; a line is laid out in hashed buckets of some ROWS documents.
     """
     h = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    digits = 1 + ((docs.count() // ROWS).bit_length() + 3) // 4
     sized = kept(
         docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), h.alias("__h"))
-        .withColumn("__b", F.substring("__h", 1, 3))
+        .withColumn("__b", F.substring("__h", 1, digits))
     )
     buckets = kept(sized.groupBy("source", "__b").agg(F.sum("size").alias("words")))
     shares = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")))
@@ -162,24 +179,22 @@ def mixture(lines: DataFrame, total: int, block: int = BLOCK, most: int = MOST_R
     shares = shares.withColumn("__rank", F.col("source_no"))
     plan = schedule(shares, total, block)
     start = F.col("repeat") * F.col("source_size") + F.col("offset")
-    used = F.ceil(F.col("target") / block) + 64  # more turns than any source gets
+    end = stop(F.col("target"))
     pieces = (
         lines.filter("size > 0")
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("repeat"))
         .withColumn("__start", start)
-        .filter(F.floor(F.col("__start") / block) <= used)
+        .withColumn("__end", F.least(F.col("__start") + F.col("size"), end))
+        .filter("__start < __end")
         .select(
-            "source_no", "offset", "size", "repeat", "__start",
+            "source_no", "offset", "repeat", "__start", "__end",
             F.explode(
-                F.sequence(
-                    F.floor(F.col("__start") / block),
-                    F.least(used, F.floor((F.col("__start") + F.col("size") - 1) / block)),
-                )
+                F.sequence(F.floor(F.col("__start") / block), F.floor((F.col("__end") - 1) / block))
             ).alias("turn"),
         )
     )
     first = F.greatest(F.col("__start"), F.col("turn") * block)
-    last = F.least(F.col("__start") + F.col("size"), (F.col("turn") + 1) * block)
+    last = F.least("__end", (F.col("turn") + 1) * block)
     return pieces.join(plan, ["source_no", "turn"]).select(
         "slot", "source_no", "turn", "offset", "repeat",
         (first - F.col("__start")).alias("from"), (last - first).alias("words"),

@@ -134,20 +134,11 @@ WITH d AS (
   SELECT w.*, CASE WHEN level.free * weight > cap * level.per THEN CAST(cap AS DOUBLE)
               ELSE CAST(level.free AS DOUBLE) * weight / CAST(level.per AS DOUBLE) END AS target
   FROM w LEFT JOIN level ON true
-), cuts AS (
-  SELECT no, round(coalesce(sum(target) OVER p, 0) / total * 2147483648) AS lo,
-         round((coalesce(sum(target) OVER p, 0) + target) / total * 2147483648) AS hi
-  FROM t WINDOW p AS (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), points AS (
-  SELECT (k % 2147483648) * 1327217885 % 2147483648 AS point
-  FROM (SELECT unnest(range(CAST((SELECT (max(total) + 63) // 64 FROM t) AS BIGINT))) AS k)
-), turns AS (
-  SELECT no, count(*) AS n FROM points JOIN cuts ON point >= lo AND point < hi GROUP BY no
 ), placed AS (
-  SELECT d.doc_id, d.size, t.z, t.target, coalesce(turns.n, 0) * 64 AS prefix,
+  SELECT d.doc_id, d.size, t.z, t.target, CAST(round(t.target) AS BIGINT) AS prefix,
          coalesce(sum(d.size) OVER (PARTITION BY t.no ORDER BY d.h, d.doc_id, d.size
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN turns USING (no)
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, CAST(z AS BIGINT) AS source_size, target,
        CAST(greatest(0, least(size, prefix - o)) + greatest(0, least(size, prefix - z - o))

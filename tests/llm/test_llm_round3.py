@@ -12,7 +12,7 @@ import zlib
 import numpy as np
 import pytest
 
-from stopwise.llm import divergence, htmltext, registry, secrets, toxicity, trie, whitening
+from stopwise.llm import divergence, htmltext, mixing, registry, secrets, toxicity, trie, whitening
 
 SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
@@ -529,3 +529,36 @@ def test_long_pages_teach_too_and_nothing_teaches_nothing(spark):
     assert {r["text"] for r in got} == {"\n".join(texts)}
     assert htmltext.train(df.limit(0)) is None and htmltext.train(spark.createDataFrame([(1, ""), (2, None)], schema)) is None
     assert {r["text"] for r in htmltext.extract(df, None).collect()} == {"\n".join(texts)}
+
+
+# --- mixing
+
+
+def test_small_sources_are_given_their_targets(spark):
+    rows = [(i, "a b c", f"s{i:02d}") for i in range(20)]
+    rows += [(100 + i, " ".join(["w"] * 500), f"t{i % 20:02d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(df).collect()
+    taken, target = collections.Counter(), {}
+    for r in got:
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+        assert r["taken"] <= 3 * r["size"]
+    assert all(abs(taken[s] - t) <= 1 for s, t in target.items())
+    assert all(target[f"s{i:02d}"] == taken[f"s{i:02d}"] == 9 for i in range(20))
+    lines, total = mixing.laid_out(df)
+    mixed = mixing.mixture(lines, total)
+    assert mixed.agg({"words": "sum"}).first()[0] == sum(taken.values())
+    assert mixed.groupBy("source_no", "turn").count().agg({"count": "max"}).first()[0] >= 1
+    slots = mixed.select("source_no", "turn", "slot").distinct()
+    assert slots.count() == slots.select("source_no", "turn").distinct().count()
+
+
+def test_ranges_of_rows_do_not_change_the_mix(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(i, " ".join(["w"] * rng.randrange(40)), rng.choice(["hot", "hot", "a", None])) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    names = ["doc_id", "taken", "target"]
+    want = sorted(map(str, mixing.mix(df).select(names).collect()))
+    monkeypatch.setattr(mixing, "ROWS", 8)
+    assert sorted(map(str, mixing.mix(df).select(names).collect())) == want
