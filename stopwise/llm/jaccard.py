@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stopwise.llm.common import frame, kept, same
+from stopwise.llm.common import frame, kept
 from stopwise.llm.components import components
 from stopwise.storage import fresh_dir, save
 
@@ -42,6 +42,8 @@ CHUNKS = 256
 GROUP = 256
 #: Bits of the filter that picks the texts whose sets are needed; one long in memory for 64.
 FILTER_BITS = 24
+#: Shingles a task hands on at once.
+HELD = 1 << 20
 #: Weight of the binary probes against the merge when lists are divided into long and short.
 MU = 0.01
 
@@ -76,21 +78,32 @@ def _cells(own: np.ndarray) -> np.ndarray:
     return (own >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+_SURVEY = "doc_id string, mark long, node long, n int, tokens array<long>, chunk int, counts binary"
+
+
 def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per document its node and size; at the end, the task's counts of shingles by cell."""
-    names = ["doc_id", "node", "n", "chunk", "counts"]
+    """Per document its node and size, and the set where it is new to the task; at the end, the
+    task's counts of shingles by cell."""
+    names, whole = [part.split()[0] for part in _SURVEY.split(", ")], ("mark", "node", "n", "chunk")
     total = np.zeros(1 << SKETCH_BITS, np.uint32)
     seen: set[int] = set()
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch["doc_id"], batch["text"]):
+        rows: list[tuple] = []
+        held = 0
+        for doc_id, mark, text in zip(batch["doc_id"], batch["mark"], batch["text"]):
             own = shingles(text)
             node = _node(own) if len(own) else None
+            tokens = None
             if node is not None and node not in seen:
                 seen.add(node)
                 np.add.at(total, _cells(own), 1)
-            rows.append((doc_id, node, len(own), None, None))
-        yield frame(rows, names, ("node", "n", "chunk"))
+                tokens = own.view(np.int64)
+                held += len(own)
+            rows.append((doc_id, mark, node, len(own), tokens, None, None))
+            if held >= HELD:
+                yield frame(rows, names, whole)
+                rows, held = [], 0
+        yield frame(rows, names, whole)
     width = (1 << SKETCH_BITS) // CHUNKS
     rows = []
     for k in range(CHUNKS):
@@ -98,9 +111,9 @@ def _survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         full = np.flatnonzero(part)
         if len(full):
             sparse = full.astype("<u2").tobytes() + part[full].tobytes()
-            rows.append((None, None, 0, k, sparse if len(sparse) < width else part.tobytes()))
+            rows.append((None, None, None, 0, None, k, sparse if len(sparse) < width else part.tobytes()))
     if rows:
-        yield frame(rows, names, ("node", "n", "chunk"))
+        yield frame(rows, names, whole)
 
 
 def _sum_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,26 +145,23 @@ def _grades(survey: DataFrame) -> np.ndarray:
     return out
 
 
-def _index(docs: DataFrame, grades: np.ndarray) -> DataFrame:
+def _index(sets: DataFrame, grades: np.ndarray) -> DataFrame:
     """(node, n, token, pos) of every node's indexed shingles, rare first; copies may repeat."""
-    shared = docs.sparkSession.sparkContext.broadcast(grades)  # one byte a cell
+    shared = sets.sparkSession.sparkContext.broadcast(grades)  # one byte a cell
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grade, seen = shared.value, set()
+        grade = shared.value
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                own = shingles(text)
-                if not len(own) or (node := _node(own)) in seen:
-                    continue
-                seen.add(node)
+            for tokens in batch["tokens"]:
+                own = np.asarray(tokens, np.int64).view(np.uint64)
                 size = len(own)
                 first = size - -(-PERCENT * size // 100) + 1
                 order = np.argsort(grade[_cells(own)], kind="stable")[:first]
-                rows.append((node, size, own[order].view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "n", "tokens"])
+                rows.append(own[order].view(np.int64))
+            yield pd.DataFrame({"node": batch["node"], "n": batch["n"], "tokens": rows})
 
-    found = docs.select("text").mapInPandas(prefixes, "node long, n int, tokens array<long>")
+    found = sets.mapInPandas(prefixes, "node long, n int, tokens array<long>")
     return found.select("node", "n", F.posexplode("tokens").alias("pos", "token"))
 
 
@@ -236,33 +246,21 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("query", "salt", "node", "tokens").mapInPandas(_search, "a long, b long")
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        own = [shingles(t) for t in batch["text"]]
-        yield pd.DataFrame(
-            {
-                "node": pd.array([_node(o) if len(o) else None for o in own], "Int64"),
-                "tokens": [o.view(np.int64) for o in own],
-            }
-        )
-
-
-def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, tokens) of the wanted (doc) and perhaps of a few more documents.
+def _sets_of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, tokens) of the wanted (node) and perhaps of a few more nodes, each once or more.
 
-    The wanted ids become a bit set of fixed size, which the scan of the texts is filtered by: texts
-    are neither shuffled nor sent to Python for nothing. More ids than fit only let more texts pass.
+    The wanted nodes become a bit set of fixed size, which the scan of the stored sets is filtered
+    by, so that sets are not shuffled for nothing. More nodes than fit only let more sets pass.
     """
-    bit = F.pmod(F.xxhash64("doc"), F.lit(1 << FILTER_BITS))
+    bit = F.pmod("node", F.lit(1 << FILTER_BITS))
+    mask = F.expr("shiftleft(1L, cast(pmod(node, 64) as int))")
     words = (
-        wanted.select((bit / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int))").alias("mask"))
+        wanted.select((bit / 64).cast("int").alias("word"), mask.alias("mask"))
         .groupBy("word").agg(F.bit_or("mask").alias("mask"))
     )
-    at = docs.select(F.col("doc_id").alias("doc"), "text").withColumn("word", (bit / 64).cast("int"))
-    passed = at.join(F.broadcast(words), "word").filter(  # at most 2^FILTER_BITS / 64 rows
-        F.expr("mask & shiftleft(1L, cast(pmod(xxhash64(doc), 64) as int)) <> 0")
-    )
-    return passed.select("text").mapInPandas(_sets, "node long, tokens array<long>")
+    at = sets.select("node", "tokens").withColumn("word", (bit / 64).cast("int"))
+    passed = at.join(F.broadcast(words), "word")  # at most 2^FILTER_BITS / 64 rows
+    return passed.filter(F.expr("mask & shiftleft(1L, cast(pmod(node, 64) as int)) <> 0")).select("node", "tokens")
 
 
 def _compatible(a: str, b: str):
@@ -288,21 +286,24 @@ def classes(docs: DataFrame) -> DataFrame:
     no shingles and link with nothing; rows that repeat an id are rows of their own, linked as
     their texts say; a null id never is the least unless all are null. No rows in, none out.
     """
+    return _grouped(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``classes`` with the checksum of each row's text and the node its group is named by, null without shingles."""
     spark = docs.sparkSession
     root = fresh_dir(spark, "jaccard")
-    docs = docs.select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
     # Ids pass through Python as text: beside a null, pandas would round them.
-    named = docs.select(F.col("doc_id").cast("string"), "text")
-    survey = save(
-        named.mapInPandas(_survey, "doc_id string, node long, n int, chunk int, counts binary"), f"{root}/survey"
-    )
-    members = survey.filter(F.col("chunk").isNull()).select(F.col("doc_id").cast(kind), "node", "n")
+    named = docs.select(F.col("doc_id").cast("string"), F.xxhash64("text").alias("mark"), "text")
+    survey = save(named.mapInPandas(_survey, _SURVEY), f"{root}/survey")
+    members = survey.filter(F.col("chunk").isNull()).select(F.col("doc_id").cast(kind), "mark", "node", "n")
     nodes = members.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("doc"))
+    stored = survey.filter(F.col("tokens").isNotNull()).select("node", "n", "tokens")
 
     # Index shingles that more than one node has, with the earliest such node.
     by_token = W.partitionBy("token")
-    index = _index(docs, _grades(survey)).repartition("token").dropDuplicates(["token", "node"])
+    index = _index(stored, _grades(survey)).repartition("token").dropDuplicates(["token", "node"])
     shared = (
         index.withColumn("lo", F.min("node").over(by_token)).withColumn("hi", F.max("node").over(by_token))
         .filter("lo < hi").drop("lo", "hi")
@@ -310,31 +311,27 @@ def classes(docs: DataFrame) -> DataFrame:
     shared = save(shared, f"{root}/shared")
 
     # Each node against the earliest node that it shares enough index shingles with.
-    named = shared.join(nodes, "node")
-    first = F.min(F.struct(F.col("doc").isNull(), "doc", "node", "n")).over(by_token).alias("first")
-    leaders = named.select("node", "n", "doc", first).select(
-        "node", "n", "doc", F.col("first.node").alias("query"), F.col("first.n").alias("m"), F.col("first.doc").alias("by")
+    named = kept(shared.join(nodes, "node"))
+    firsts = named.groupBy("token").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "node", "n")).alias("first"))
+    leaders = named.select("token", "node", "n").join(firsts, "token").select(
+        "node", "n", F.col("first.node").alias("query"), F.col("first.n").alias("m")
     )
     stars = kept(
         leaders.filter((F.col("query") != F.col("node")) & _compatible("n", "m"))
-        .groupBy("node", "query", "n", "m", "doc", "by").agg(F.count("*").alias("c"))
+        .groupBy("node", "query", "n", "m").agg(F.count("*").alias("c"))
         .filter(F.col("c") >= _least_shared("n", "m"))
-        .groupBy("node", "doc").agg(F.max_by(F.struct("query", "by"), F.struct("c", "query")).alias("q"))
-        .select("q.query", "node", "doc", "q.by")
+        .groupBy("node").agg(F.max_by("query", F.struct("c", "query")).alias("query"))
     )
-    sets = _sets_of(docs, stars.select(F.explode(F.array("doc", "by")).alias("doc")))
+    sets = _sets_of(stored, stars.select(F.explode(F.array("query", "node")).alias("node"))).dropDuplicates(["node"])
     links = kept(verified(stars.select("query", "node"), save(sets, f"{root}/star-sets")))
     found = components(links)
 
     # Then all pairs across components that share index shingles and can reach the overlap.
-    placed = shared.alias("s").join(found.alias("f"), F.col("s.node") == F.col("f.node"), "left").select(
+    placed = kept(shared.alias("s").join(found.alias("f"), F.col("s.node") == F.col("f.node"), "left").select(
         "s.token", "s.node", "s.n", "s.pos", F.coalesce("f.root", "s.node").alias("root")
-    )
-    across = save(
-        placed.withColumn("lo", F.min("root").over(by_token)).withColumn("hi", F.max("root").over(by_token))
-        .filter("lo < hi").drop("lo", "hi"),
-        f"{root}/across",
-    )
+    ))
+    several = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+    across = save(placed.join(several.select("token"), "token", "left_semi"), f"{root}/across")
     x, y = across.alias("x"), across.alias("y")
     # The first common shingle of a linked pair leaves room for the rest of the overlap behind it.
     room = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
@@ -356,18 +353,19 @@ def classes(docs: DataFrame) -> DataFrame:
         .groupBy("query", "node", "m", "n").agg(F.count("*").alias("c"))
         .filter(F.col("c") >= _least_shared("m", "n")).select("query", "node")
     )
-    ends = enough.select(F.explode(F.array("query", "node")).alias("node")).distinct().join(nodes, "node")
-    late = kept(verified(enough, save(_sets_of(docs, ends), f"{root}/late-sets")))
+    ends = enough.select(F.explode(F.array("query", "node")).alias("node"))
+    sets = _sets_of(stored, ends).dropDuplicates(["node"])
+    late = kept(verified(enough, save(sets, f"{root}/late-sets")))
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
 
     linked = joined.join(nodes, "node")
     least = linked.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = kept(
         nodes.alias("n").join(linked.join(least, "root").alias("l"), F.col("n.node") == F.col("l.node"), "left")
-        .select("n.node", F.coalesce("component_id", "n.doc").alias("component_id"))
+        .select("n.node", F.coalesce("l.root", "n.node").alias("root"), F.coalesce("component_id", "n.doc").alias("component_id"))
     )
     return members.alias("m").join(named.alias("c"), F.col("m.node") == F.col("c.node"), "left").select(
-        "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
+        "doc_id", "mark", "root", F.col("n").cast("bigint").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
     )
 
@@ -375,10 +373,14 @@ def classes(docs: DataFrame) -> DataFrame:
 def first_of_group(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of linked ones: the one with the least id.
 
-    Documents without shingles are linked with nothing and stay, and so do rows without an id;
-    of rows that repeat an id one stays for each distinct text, unless the group drops them.
+    Of several texts of a group under that id, the one with the least checksum stays. Documents
+    without shingles are linked with nothing and stay, and so do rows without an id; rows that
+    repeat an id are judged by their own text, and of rows alike in id and text one stays.
     """
-    marked = classes(docs)
-    gone = marked.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    left = docs.alias("d").join(gone.alias("g"), same("d", "g", "doc_id"), "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    marked = kept(_grouped(docs).filter("root IS NOT NULL AND doc_id IS NOT NULL").select("root", "doc_id", "mark"))
+    first = marked.groupBy("root").agg(F.min(F.struct("doc_id", "mark")).alias("first"))
+    gone = marked.join(first, "root").filter((F.col("doc_id") != F.col("first.doc_id")) | (F.col("mark") != F.col("first.mark")))
+    hashed = docs.withColumn("__mark", F.xxhash64("text")).alias("d")
+    same_row = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__mark") == F.col("g.mark"))
+    left = hashed.join(gone.select("doc_id", "mark").distinct().alias("g"), same_row, "left_anti")
+    return left.drop("__mark").dropDuplicates(["doc_id", "text"])

@@ -12,7 +12,7 @@ import zlib
 import numpy as np
 import pytest
 
-from stopwise.llm import divergence, htmltext, mixing, registry, secrets, toxicity, trie, whitening
+from stopwise.llm import divergence, htmltext, jaccard, mixing, registry, secrets, toxicity, trie, whitening
 
 SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
@@ -562,3 +562,19 @@ def test_ranges_of_rows_do_not_change_the_mix(spark, monkeypatch):
     want = sorted(map(str, mixing.mix(df).select(names).collect()))
     monkeypatch.setattr(mixing, "ROWS", 8)
     assert sorted(map(str, mixing.mix(df).select(names).collect())) == want
+
+
+# --- near copies
+
+
+def test_other_texts_under_a_dropped_id_stay(spark):
+    copy = "one two three four five six seven eight nine ten"
+    near = copy + " " + " ".join(f"w{i}" for i in range(60))
+    rows = [(1, copy), (2, copy), (2, "an entirely different text of quite a few other words"), (2, None), (None, copy),
+            (5, near), (5, near + " more"), (6, near + " other"), (5, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'mine' AS mark", "'mine' AS root")
+    left = sorted(((r["doc_id"], r["text"]) for r in jaccard.first_of_group(df).collect()), key=repr)
+    assert (1, copy) in left and (2, copy) not in left
+    assert (2, rows[2][1]) in left and (2, None) in left and (None, copy) in left
+    assert len([x for x in left if x[0] in (5, 6)]) == 1 and len(left) == 5
+    assert set(jaccard.first_of_group(df).columns) == set(df.columns)
