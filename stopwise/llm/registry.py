@@ -81,7 +81,8 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the base rules' counts and whether it is kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return divergence.judge(docs, without=("text", "lang"))
+    judged = divergence.judge(docs, without=("text", "lang"))
+    return judged.select("doc_id", *divergence.OUT, "kept")
 
 
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,4 +208,129 @@ WITH d AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n, 0) AS n_hit, coalesce(x.n, 0) AS n_items,
        sha256(coalesce(x.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN items x USING (doc_id)""",
+    "op12_trie": r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(struct_pack(role := role, text := text)
+                       ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS turns
+  FROM t GROUP BY conv_id
+), crc AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+         lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END),
+         4294967295) % 4 AS h
+  FROM own
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM crc o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20
+), members AS (
+  SELECT conv_id, turns[1:d] AS path, d, d = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends) AS ids
+  FROM members GROUP BY path, d
+), children AS (
+  SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2
+), counted AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_children,
+         CASE WHEN n.d > 0 THEN (n_convs - 1) * len(regexp_extract_all(n.path[n.d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved
+  FROM nodes n LEFT JOIN children c ON c.path = n.path AND c.d = n.d
+), below AS (
+  SELECT path[1:k] AS path, k AS d, sum(saved) AS saved, sum(CAST(n_children = 0 AS INTEGER)) AS leaves
+  FROM (SELECT path, saved, n_children, unnest(range(0, d + 1)) AS k FROM counted) GROUP BY 1, 2
+)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+       CAST(b.leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(c.ids, '')) AS ends_sha256
+FROM counted c JOIN below b ON b.path = c.path AND b.d = c.d
+LEFT JOIN counted p ON c.d > 0 AND p.d = c.d - 1 AND p.path = c.path[1:c.d - 1]""",
 }
+
+
+def _divergence_sql(rounds: int = 3) -> str:
+    """The base rules, and ``rounds`` counts of the references, each without what was far from the last."""
+    edges = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
+    kinds = {
+        "upper": r"[\p{Lu}\p{Lt}]", "lower": r"[\p{Ll}\p{Lm}\p{Lo}\p{M}]", "digit": r"\p{N}",
+        "space": r"[\p{Z}\x09-\x0D\x1C-\x1F\x85]", "mark": r"[.,;:''\"?!()\x2D]|[^\x00-\x7F\P{P}]",
+        "symbol": r"[#$%&*+/<=>@\[\\\]^_`{|}~]|[^\x00-\x7F\P{S}]",
+    }
+    counted = ", ".join(f"len(regexp_extract_all(text, '{k}')) AS {n}" for n, k in kinds.items())
+    parts = [rf"""
+d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_SPACE}') AS w FROM documents
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_SPACE}') GROUP BY 1
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n
+  FROM (SELECT doc_id, i, w[i : i + 4] AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d))
+), again AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2), (3), (4)) ks(k) WHERE n > 1 GROUP BY 1
+), base AS (
+  SELECT d.doc_id, lang, text, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         coalesce(lines.n, 0) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words,
+         len(w) < 10 OR 100 * coalesce(again.n, 0) > 20 * len(w) AS base_failed, length(text) AS n_chars
+  FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN again USING (doc_id)
+), chars AS (
+  UNPIVOT (SELECT *, n_chars - upper - lower - digit - space - mark - symbol AS other
+           FROM (SELECT doc_id, n_chars, {counted} FROM base))
+  ON upper, lower, digit, space, mark, symbol, other INTO NAME unit VALUE n
+), plain AS (
+  SELECT doc_id, word, count(*) AS n
+  FROM (SELECT doc_id, trim(lower(unnest(w)), '{edges}') AS word FROM d) WHERE word <> '' GROUP BY 1, 2
+), sizes AS (SELECT doc_id, sum(n) AS n FROM plain GROUP BY 1
+), totals AS (
+  SELECT lang, sum(n) AS n FROM base JOIN sizes USING (doc_id) WHERE NOT base_failed AND lang IS NOT NULL GROUP BY 1
+), common AS (
+  SELECT lang, word FROM base JOIN plain USING (doc_id) WHERE NOT base_failed AND lang IS NOT NULL GROUP BY 1, 2
+  HAVING sum(n) >= 0.002::DOUBLE * (SELECT n FROM totals t WHERE t.lang = base.lang)
+     AND (SELECT n FROM totals t WHERE t.lang = base.lang) >= 0.001::DOUBLE * (SELECT sum(n) FROM totals)
+), langs AS (SELECT DISTINCT lang FROM common
+), sides AS (
+  SELECT b.doc_id, l.lang AS ref FROM base b JOIN langs l ON l.lang = b.lang OR b.lang IS NULL
+    OR b.lang NOT IN (SELECT lang FROM langs)
+), known AS (
+  SELECT s.doc_id, s.ref, p.word AS unit, p.n FROM sides s JOIN plain p USING (doc_id) JOIN common c ON c.lang = s.ref AND c.word = p.word
+), words AS (
+  SELECT * FROM known UNION ALL
+  SELECT s.doc_id, s.ref, '' AS unit, coalesce(z.n, 0) - coalesce(k.n, 0)
+  FROM sides s LEFT JOIN sizes z USING (doc_id)
+  LEFT JOIN (SELECT doc_id, ref, sum(n) AS n FROM known GROUP BY 1, 2) k ON k.doc_id = s.doc_id AND k.ref = s.ref
+), hist AS (
+  SELECT 'words' AS kind, doc_id, ref, unit, n FROM words WHERE n > 0 UNION ALL
+  SELECT 'chars', doc_id, ref, unit, n FROM sides JOIN chars USING (doc_id) WHERE n > 0
+), shares AS (
+  SELECT kind, doc_id, ref, unit, n, n * 1.0::DOUBLE / sum(n) OVER (PARTITION BY kind, doc_id, ref) AS p FROM hist
+), near0 AS (SELECT doc_id FROM base)"""]
+    for k in range(1, rounds + 1):
+        parts.append(f"""
+ref{k} AS (
+  SELECT kind, ref, unit, sum(n) * 1.0::DOUBLE / sum(sum(n)) OVER (PARTITION BY kind, ref) AS q
+  FROM hist JOIN base b USING (doc_id) WHERE b.lang = ref AND NOT base_failed AND doc_id IN (SELECT doc_id FROM near{k - 1})
+  GROUP BY 1, 2, 3
+), apart{k} AS (
+  SELECT kind, doc_id, ref, sqrt(greatest(0, (sum(p * log2(2 * p / (p + coalesce(q, 0))))
+           + sum(coalesce(q * log2(2 * q / (p + q)), 0)) + 1 - sum(coalesce(q, 0))) / 2)) AS far
+  FROM shares LEFT JOIN ref{k} USING (kind, ref, unit) GROUP BY 1, 2, 3
+), best{k} AS (
+  SELECT doc_id, chars_far, words_far FROM (
+    SELECT s.doc_id, coalesce(c.far, 1) AS chars_far, coalesce(w.far, 1) AS words_far,
+           row_number() OVER (PARTITION BY s.doc_id ORDER BY coalesce(c.far, 1) + coalesce(w.far, 1), s.ref) AS nth
+    FROM sides s LEFT JOIN apart{k} c ON c.kind = 'chars' AND c.doc_id = s.doc_id AND c.ref = s.ref
+    LEFT JOIN apart{k} w ON w.kind = 'words' AND w.doc_id = s.doc_id AND w.ref = s.ref) WHERE nth = 1
+), near{k} AS (
+  SELECT b.doc_id FROM base b LEFT JOIN best{k} USING (doc_id)
+  WHERE (n_chars < 300 OR coalesce(chars_far, 0) <= 0.24) AND (n_words < 150 OR coalesce(words_far, 0) <= 0.36)
+)""")
+    return f"""WITH {",".join(parts)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND doc_id IN (SELECT doc_id FROM near{rounds}) AS kept
+FROM base"""
+
+
+ORACLES["op11_divergence"] = _divergence_sql()
