@@ -30,6 +30,8 @@ FIT_QUERIES = 100
 COVER = 0.96
 #: Rows of a block at most; vectors of the sample that scales the curves.
 BLOCK = 8192
+#: Queries that read a block together at most; a block that more read is copied.
+QUERIES = 4096
 SCALE_ROWS = 4096
 #: More neighbours than asked for that every block hands on, so that rounding decides nothing.
 SPARE = 8
@@ -190,9 +192,12 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         F.greatest(F.lit(0), F.floor((F.col("place") - reach) / block)).cast("int"),
         F.floor((F.col("place") + reach) / block).cast("int"),
     )
-    data = placed.filter("query = 0").select("curve", at.alias("block"), "vkey", "query")
     asks = placed.filter("query = 1").select("curve", F.explode(near).alias("block"), "vkey", "query")
-    met = data.unionByName(asks).join(distinct.select("vkey", "vec"), "vkey")
+    readers = asks.groupBy("curve", "block").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("copies"))
+    asks = asks.join(readers, ["curve", "block"]).withColumn("copy", F.pmod(F.xxhash64("vkey"), F.col("copies")).cast("int"))
+    data = placed.filter("query = 0").select("curve", at.alias("block"), "vkey", "query")
+    data = data.join(readers, ["curve", "block"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    met = data.unionByName(asks).drop("copies").join(distinct.select("vkey", "vec"), "vkey")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         asked = part["query"].to_numpy() == 1
@@ -204,7 +209,7 @@ def search(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
         return pd.DataFrame({"vkey": queries["vkey"].to_numpy(), "found": found})
 
     kind = "vkey long, found array<struct<score: double, other: long>>"
-    answers = met.groupBy("curve", "block").applyInPandas(compare, kind)
+    answers = met.groupBy("curve", "block", "copy").applyInPandas(compare, kind)
     # A query has a bounded number of answers: curves times blocks, k + SPARE each.
     largest_first = lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).otherwise(
         F.when(a["other"] < b["other"], -1).when(a["other"] > b["other"], 1).otherwise(0)

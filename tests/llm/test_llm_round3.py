@@ -11,8 +11,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from stopwise.llm import divergence, htmltext, jaccard, mixing, registry, secrets, toxicity, trie, whitening
+from stopwise.llm import divergence, htmltext, jaccard, mixing, neighbours, registry, secrets, toxicity, trie, whitening
 
 SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="given tables not present")
@@ -578,3 +579,13 @@ def test_other_texts_under_a_dropped_id_stay(spark):
     assert (2, rows[2][1]) in left and (2, None) in left and (None, copy) in left
     assert len([x for x in left if x[0] in (5, 6)]) == 1 and len(left) == 5
     assert set(jaccard.first_of_group(df).columns) == set(df.columns)
+
+
+def test_blocks_that_many_queries_read_are_copied(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.standard_normal((400, 6)))], VECTORS)
+    read = lambda: sorted(tuple(r) for r in neighbours.search(df, F.col("vec_id") % 2 == 0, k=5).collect())
+    monkeypatch.setattr(neighbours, "QUERIES", 10**6)
+    want = read()
+    monkeypatch.setattr(neighbours, "QUERIES", 16)
+    assert read() == want
