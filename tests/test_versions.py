@@ -374,3 +374,27 @@ def test_distributions_are_read_from_stored_counts(spark, tmp_path, landed):
     assert warehouse.delay_counts.agg(F.sum("rows")).first()[0] == punctuality.commercial_arrivals(
         warehouse.fct_timetable_events
     ).count()
+
+
+def test_bucketed_keys_are_checked_and_joined_without_a_shuffle(spark, tmp_path, landed):
+    from stopwise.operators import facts, quality
+    from stopwise.plans.colocated import KeyTables
+
+    warehouse = Warehouse(sources(spark, landed), str(tmp_path / "warehouse"), LENIENT)
+    fact, causes = warehouse.fct_timetable_events, warehouse.fct_delay_causes
+    lost = causes.limit(1)
+    twice = fact.unionByName(fact.filter("train_number = 3")).join(lost, "event_key", "left_anti")
+    tables = KeyTables(twice.select(fact.columns), causes, buckets=3)
+    answers = {"unique": tables.repeated(), "orphans": tables.orphans(), "causes": tables.known_causes()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with keys too many to broadcast
+    try:
+        for answer in (tables.repeated(), tables.orphans(), tables.known_causes()):
+            assert "Exchange" not in answer._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert rows(answers["unique"]) == rows(quality.unique(twice, "event_key")) != []
+    assert rows(answers["orphans"]) == rows(quality.relationships(causes, "event_key", twice, "event_key")) != []
+    assert rows(answers["causes"]) == rows(facts.known_causes(causes, twice)) != []
+    tables.drop()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("keys_")]
