@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stopwise.storage import ensure_checkpoint_dir
+from stopwise.storage import ensure_checkpoint_dir, file_system
 
 #: A-Z is lowered by code point, other letters stay.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -44,6 +44,12 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a stored table that nothing will read again."""
+    files, at = file_system(spark, path)
+    files.delete(at, True)
+
+
 def smallest(df: DataFrame, n: int, total: int, *by: str) -> DataFrame:
     """The n rows with the smallest hashes of ``by``, of ``total``: a repeatable sample.
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stopwise.llm.common import frame, kept
+from stopwise.llm.common import delete, frame, kept
 from stopwise.llm.components import components
 from stopwise.storage import fresh_dir, save
 
@@ -311,9 +311,9 @@ def _grouped(docs: DataFrame) -> DataFrame:
     shared = save(shared, f"{root}/shared")
 
     # Each node against the earliest node that it shares enough index shingles with.
-    named = kept(shared.join(nodes, "node"))
-    firsts = named.groupBy("token").agg(F.min(F.struct(F.col("doc").isNull(), "doc", "node", "n")).alias("first"))
-    leaders = named.select("token", "node", "n").join(firsts, "token").select(
+    earliest = F.min(F.struct(F.col("doc").isNull(), "doc", "node", "n")).alias("first")
+    firsts = shared.join(nodes, "node").groupBy("token").agg(earliest)
+    leaders = shared.select("token", "node", "n").join(firsts, "token").select(
         "node", "n", F.col("first.node").alias("query"), F.col("first.n").alias("m")
     )
     stars = kept(
@@ -324,12 +324,13 @@ def _grouped(docs: DataFrame) -> DataFrame:
     )
     sets = _sets_of(stored, stars.select(F.explode(F.array("query", "node")).alias("node"))).dropDuplicates(["node"])
     links = kept(verified(stars.select("query", "node"), save(sets, f"{root}/star-sets")))
+    delete(spark, f"{root}/star-sets")  # the links are kept
     found = components(links)
 
     # Then all pairs across components that share index shingles and can reach the overlap.
-    placed = kept(shared.alias("s").join(found.alias("f"), F.col("s.node") == F.col("f.node"), "left").select(
+    placed = shared.alias("s").join(found.alias("f"), F.col("s.node") == F.col("f.node"), "left").select(
         "s.token", "s.node", "s.n", "s.pos", F.coalesce("f.root", "s.node").alias("root")
-    ))
+    )
     several = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
     across = save(placed.join(several.select("token"), "token", "left_semi"), f"{root}/across")
     x, y = across.alias("x"), across.alias("y")
@@ -356,6 +357,8 @@ def _grouped(docs: DataFrame) -> DataFrame:
     ends = enough.select(F.explode(F.array("query", "node")).alias("node"))
     sets = _sets_of(stored, ends).dropDuplicates(["node"])
     late = kept(verified(enough, save(sets, f"{root}/late-sets")))
+    for done in ("late-sets", "shared", "across"):
+        delete(spark, f"{root}/{done}")
     joined = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(late))
 
     linked = joined.join(nodes, "node")
