@@ -4,7 +4,7 @@ The guess cost of a value is the least total over all ways to cut it into words,
 keyboard walks and brute-force characters, each piece costing the logarithm of the guesses an
 attacker needs for it. Values that cost enough, in all and per character, are secrets: names put
 together from words are long, but cheap for their length. Words are ranked by how common they are,
-in a short list of passwords' parts, in a public vocabulary and in a bounded sample of the corpus.
+in a short list of passwords' parts, in a public vocabulary and in the whole corpus.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stopwise.llm.common import smallest
+from stopwise.llm.common import kept
 
 # The base patterns and the least length of what each must hold.
 ASSIGN = re.compile(
@@ -46,8 +46,8 @@ LEAST_LOG10, LEAST_PER_CHAR = 10.0, 0.8
 LONGEST_UNIT = 12
 #: A public vocabulary whose ids follow the words' frequency; words are taken from it where it is there.
 VOCABULARY = "/opt/tokenizers/word_bpe_49k.json"
-#: Documents whose words are counted, how often a word must occur there, and words learned at most.
-SAMPLE_DOCS, LEAST_COUNT, LEARNED = 2000, 5, 20_000
+#: How often a word must occur in the corpus to be learned, and how many ranks it gives at most.
+LEAST_COUNT, LEARNED = 5, 20_000
 
 #: Common password parts, most common first: a part's rank is its number of guesses.
 WORDS = (
@@ -100,9 +100,13 @@ class Ranks(dict):
         for words in ordered:
             for i, word in enumerate(words):
                 self[word] = min(i + 1, self.get(word, i + 1))
-        self.longest = max(map(len, self), default=0)
+        self.measure()
         self.units: dict[str, float] = {}  # costs of units of repeats
 
+    def measure(self) -> None:
+        """Take down the lengths words have, from three letters: few, however long the longest is."""
+        self.lengths = sorted({n for n in map(len, self) if n > 2})
+
 
 COMMON = Ranks(WORDS)
 
@@ -118,12 +122,20 @@ def vocabulary(path: str = VOCABULARY) -> list[str]:
 
 
 def learn(docs: DataFrame, path: str = VOCABULARY) -> Ranks:
-    """Ranks from the list here, the vocabulary, and the words of SAMPLE_DOCS documents of ``docs``."""
-    texts = docs.select("text").filter("text IS NOT NULL")
-    sample = smallest(texts, SAMPLE_DOCS, texts.count(), "text")
-    words = sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0))).alias("word"))
-    counts = words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_COUNT)
-    learned = [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(LEARNED).collect()]
+    """Ranks from the list here, the vocabulary, and the words of all ``docs``, each occurrence counted."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0))).alias("word"))
+    counts = kept(
+        words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_COUNT)
+        .withColumn("grade", F.floor(8 * F.log2("n")))
+    )
+    # Grades that hold the most common words are found first, so that each task hands few words on.
+    left, least = LEARNED, 0
+    for row in counts.groupBy("grade").agg(F.count("*").alias("words")).orderBy(F.desc("grade")).collect():  # under 512
+        left, least = left - row["words"], row["grade"]
+        if left <= 0:
+            break
+    common = counts.filter(F.col("grade") >= least).orderBy(F.desc("n"), "word").limit(LEARNED)
+    learned = [r["word"] for r in common.collect()]
     return Ranks(WORDS, vocabulary(path), learned)
 
 
@@ -177,7 +189,10 @@ def guess_cost(value: str, ranks: Ranks = COMMON) -> float:
     repeats: list[dict[int, _Starts]] = [{} for _ in runs]
     for i in range(1, size + 1):
         cost = best[i - 1] + _brute_force(low[i - 1])
-        for start in range(max(0, i - ranks.longest), i - 2):
+        for length in ranks.lengths:
+            start = i - length
+            if start < 0:
+                break
             exact = ranks.get(low[start:i])
             if exact:
                 cost = min(cost, best[start] + math.log10(exact + 1) + 0.3 * (value[start:i] != low[start:i]))
@@ -273,7 +288,7 @@ def scan(docs: DataFrame, ranks: Ranks | None = None) -> DataFrame:
     def scans(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Ranks(())
         own.update(shared.value)
-        own.longest = max(map(len, own), default=0)
+        own.measure()
         for texts in batches:
             rows = []
             for text in texts:

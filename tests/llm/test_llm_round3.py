@@ -412,6 +412,25 @@ def test_names_made_of_words_are_no_secrets(spark):
     assert secrets.vocabulary("/nowhere") == []
 
 
+def test_words_are_ranked_by_all_documents(spark, monkeypatch):
+    names = ["".join("bcdfghjklm"[int(d)] for d in f"{i:03d}") + "ora" for i in range(300)]
+    long = "qx" * 5000
+    rows = [(i, f"text {i} {names[i % 300]} {long if i < 5 else ''}") for i in range(1500)]
+    rows += [(i, f"other {i}") for i in range(1500, 6000)] + [(6000, None), (6001, "")]
+    ranks = secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"), path="/nowhere")
+    assert set(names) <= set(ranks)  # five times each, wherever they are
+    assert ranks["other"] == 1 and ranks["text"] == 2
+    monkeypatch.setattr(secrets, "LEARNED", 7)
+    few = secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"), path="/nowhere")
+    assert set(few) - set(secrets.WORDS) - {"other"} == {"text", *sorted(names)[:5]}
+    assert ranks[long] and len(ranks.lengths) < 20  # a long word is no cost for every value
+    for value in ("correcthorse" + names[7], long, names[3] * 3, "x7Fq9ZkLm2Pw"):
+        slow = secrets.Ranks(())
+        slow.update(ranks)
+        slow.lengths = range(3, max(map(len, ranks)) + 1)
+        assert secrets.guess_cost(value[:40], ranks) == pytest.approx(secrets.guess_cost(value[:40], slow))
+
+
 # --- toxicity
 
 
