@@ -19,8 +19,8 @@ from stopwise.storage import file_system, fresh_dir
 class KeyTables:
     """``events`` (event_key, cause_count) and ``causes``, in ``buckets`` buckets by event key.
 
-    Bucket specifications live in the session's catalog, under names of their own; the files in the
-    shared folder. ``drop`` deletes both.
+    The files live in the shared folder until ``drop``. The session's catalog names a table only
+    while it is written: the readers returned hold its files and buckets, so nothing stays behind.
     """
 
     def __init__(self, events: DataFrame, causes: DataFrame, buckets: int | None = None):
@@ -40,7 +40,9 @@ class KeyTables:
         placed = rows.repartition(self.buckets, "event_key")
         writer = placed.write.bucketBy(self.buckets, "event_key").sortBy("event_key")
         writer.option("path", f"{self._root}/{name}").saveAsTable(table)
-        return self.spark.table(table)
+        reader = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")  # an external one: its files stay
+        return reader
 
     def repeated(self) -> DataFrame:
         """DQ-1. Event keys that occur more than once."""
@@ -55,7 +57,5 @@ class KeyTables:
         return facts.known_causes(self.causes, self.events)
 
     def drop(self) -> None:
-        for name in ("events", "causes"):
-            self.spark.sql(f"DROP TABLE IF EXISTS keys_{self._id}_{name}")
         files, at = file_system(self.spark, self._root)
         files.delete(at, True)

@@ -398,3 +398,16 @@ def test_bucketed_keys_are_checked_and_joined_without_a_shuffle(spark, tmp_path,
     assert rows(answers["causes"]) == rows(facts.known_causes(causes, twice)) != []
     tables.drop()
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("keys_")]
+
+
+def test_bucketed_keys_leave_nothing_in_the_catalog(spark, tmp_path, landed):
+    from stopwise.plans.colocated import KeyTables
+
+    listed = lambda: sorted(t.name for t in spark.catalog.listTables())
+    warehouse = Warehouse(sources(spark, landed), str(tmp_path / "warehouse"), LENIENT)
+    before = listed()
+    tables = KeyTables.of(warehouse, buckets=3)
+    assert listed() == before
+    assert tables.events.count() == warehouse.fct_timetable_events.count() > 0
+    assert tables.known_causes().count() == warehouse.fct_delay_causes.count() > 0
+    tables.drop()
