@@ -174,6 +174,23 @@ def test_merging_transforms_finds_blocks_of_equal_strings(monkeypatch):
             assert flags.tolist() == [count[s[i : i + 200]] > 1 for i in range(len(s) - 199)]
 
 
+def test_transforms_sort_once_a_round_and_take_many_symbols(monkeypatch):
+    rnd = random.Random(2)
+    sorts, ranked = [], substrings._ranked
+    monkeypatch.setattr(substrings, "_ranked", lambda keys: sorts.append(len(keys)) or ranked(keys))
+    text = bytes(rnd.choices(b"ab", k=300)) * 2
+    order, _, _ = substrings.shard_bwt(np.frombuffer(text, np.uint8))
+    assert len(sorts) <= 9  # the bytes, then eight doublings
+    twice = text + text
+    strings = [twice[i : i + 200] for i in order]
+    assert strings == sorted(strings)
+    large = rnd.randbytes(70_000)  # more symbols than sixteen bits hold
+    snippets = [large, large[40_000:40_300], rnd.randbytes(400)]
+    flags = substrings.repeated_starts(snippets, [len(s) - 199 for s in snippets])
+    assert np.flatnonzero(flags[0]).tolist() == list(range(40_000, 40_101))
+    assert flags[1].all() and not flags[2].any()
+
+
 def gold_page(rnd):
     say = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8))) for _ in range(n))
     paragraphs = [say(rnd.randint(5, 80)) + "." for _ in range(rnd.randint(1, 12))]
