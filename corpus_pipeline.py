@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stopwise.llm import decontaminate, jaccard, lines, mixing, toxicity
-from stopwise.llm.common import table
+from stopwise.llm.common import in_small_batches, restored_batches, table
 from stopwise.storage import fresh_dir, save
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the toxicity classifier does not reject."""
+    in_small_batches(spark)
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -23,6 +24,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    in_small_batches(spark)
     return jaccard.first_of_group(docs)
 
 
@@ -49,8 +51,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written as Parquet and read again by the next one."""
     docs = table(spark, sf_dir, "documents")
     root = fresh_dir(spark, "pipeline")
-    for name, stage in STAGES[:-1]:
-        docs = save(stage(spark, docs, sf_dir), f"{root}/{name}")
+    with restored_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = save(stage(spark, docs, sf_dir), f"{root}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

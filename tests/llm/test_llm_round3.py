@@ -608,3 +608,48 @@ def test_blocks_that_many_queries_read_are_copied(spark, monkeypatch):
     want = read()
     monkeypatch.setattr(neighbours, "QUERIES", 16)
     assert read() == want
+
+
+# --- what the pipeline holds beside its heap and on disk
+
+
+def test_near_copies_leave_no_shuffle_files(spark):
+    dirs = [d.getPath() for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffles():
+        names = [f for d in dirs for _, _, files in os.walk(d) for f in files]
+        return {f.split("_")[1] for f in names if f.startswith("shuffle_")}
+
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[: 30 + i % 10])) for i in range(60)]
+    before = shuffles()
+    grouped = jaccard.classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    until = time.time() + 20  # they go in the background
+    while len(shuffles() - before) > 2 and time.time() < until:
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 2  # that of the sketch, which is read as an iterator
+    assert grouped.count() == 60
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_pipeline_hands_few_rows_to_python_at_once(spark, monkeypatch):
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(corpus_pipeline.jaccard, "first_of_group", lambda docs: docs)
+    sizes = lambda batches: (b[["id"]].assign(id=len(b)) for b in batches)
+    rows = spark.range(0, 2500, 1, 1)
+    try:
+        assert corpus_pipeline.near_duplicates(spark, rows, "") is rows
+        assert rows.mapInPandas(sizes, "id long").agg(F.max("id")).first()[0] == 1000
+        spark.conf.set(name, "300")
+        corpus_pipeline.near_duplicates(spark, rows, "")
+        assert spark.conf.get(name) == "300"
+        with corpus_pipeline.restored_batches(spark):
+            spark.conf.set(name, "0")
+            corpus_pipeline.near_duplicates(spark, rows, "")
+            assert spark.conf.get(name) == "1000"
+        assert spark.conf.get(name) == "300"
+    finally:
+        spark.conf.set(name, before)
