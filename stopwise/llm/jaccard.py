@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from stopwise.llm.common import delete, frame, freed_shuffles, kept
+from stopwise.llm.common import delete, frame, freed_shuffles, in_small_batches, kept, restored_batches
 from stopwise.llm.components import components
 from stopwise.storage import fresh_dir, save
 
@@ -291,7 +291,8 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def _grouped(docs: DataFrame) -> DataFrame:
     """``classes`` with the checksum of each row's text and the node its group is named by, null without shingles."""
-    with freed_shuffles(docs.sparkSession):
+    with freed_shuffles(docs.sparkSession), restored_batches(docs.sparkSession):
+        in_small_batches(docs.sparkSession)  # all work in Python is stored before this returns
         return _linked(docs)
 
 

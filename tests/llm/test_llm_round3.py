@@ -653,3 +653,22 @@ def test_pipeline_hands_few_rows_to_python_at_once(spark, monkeypatch):
         assert spark.conf.get(name) == "300"
     finally:
         spark.conf.set(name, before)
+
+
+def test_near_copies_hand_few_rows_to_python_at_once(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, survey = spark.conf.get(name), jaccard._survey
+
+    def bounded(batches):
+        def few():
+            for batch in batches:
+                assert len(batch) <= 1000
+                yield batch
+
+        return survey(few())
+
+    monkeypatch.setattr(jaccard, "_survey", bounded)
+    rows = spark.range(0, 2500, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c d "), F.col("id") % 5).alias("text"))
+    found = jaccard.classes(rows).groupBy("component_id").count().collect()
+    assert {tuple(r) for r in found} == {(i, 500) for i in range(5)}
+    assert spark.conf.get(name) == before
