@@ -345,6 +345,67 @@ def test_landed_lines_are_cut_at_the_target(spark, tmp_path, landed):
     src.write_landing_lines(many.limit(0), str(tmp_path / "none"), 2000)
 
 
+def _landed_files(root):
+    """Sizes of the lines of each landed file, by folder and file."""
+    found = {}
+    for f in root.glob("date=*/part*"):
+        found.setdefault(f.parent.name, {})[f.name] = [len(line) + 1 for line in f.read_text().splitlines()]
+    return found
+
+
+@pytest.mark.parametrize("day", ["date", "string"])
+def test_a_task_lands_many_bins_each_a_file_of_its_own(spark, tmp_path, day):
+    from stopwise.sources import documents as src
+
+    # Long and short documents take turns, one date holds most of them, some have none.
+    n, long = F.col("id"), F.lit("x")
+    dated = F.when(n % 50 == 0, None).when(n % 20 == 0, F.lit("2024-03-13")).otherwise(F.lit("2024-03-12"))
+    size = F.when(n % 7 == 0, 900 + n % 90).otherwise(20 + n % 40).cast("int")
+    docs = spark.range(4000).select(n.alias("n"), F.repeat(long, size).alias("text"), dated.cast(day).alias("date"))
+    src.write_landing_lines(docs, str(tmp_path / "lines"), 4000)
+    read = spark.read.schema("n long, text string").json(str(tmp_path / "lines"))
+    assert read.count() == 4000
+    assert read.select("n", "text", F.col("date").cast("string")).exceptAll(
+        docs.select("n", "text", F.col("date").cast("string"))
+    ).isEmpty()
+    landed = _landed_files(tmp_path / "lines")
+    assert set(landed) == {"date=2024-03-12", "date=2024-03-13", "date=__HIVE_DEFAULT_PARTITION__"}
+    longest = max(max(lines) for files in landed.values() for lines in files.values())
+    for files in landed.values():
+        assert all(sum(lines) < 4000 + max(lines) for lines in files.values())
+        assert sum(sum(lines) <= 4000 - longest for lines in files.values()) <= 1
+    tasks = {name.split("-")[1] for files in landed.values() for name in files}
+    assert len(tasks) <= int(spark.conf.get("spark.sql.shuffle.partitions")) < 50 < sum(map(len, landed.values()))
+
+
+def test_bins_of_documents_longer_than_the_target(spark, tmp_path):
+    from stopwise.sources import documents as src
+
+    docs = spark.range(60).select(
+        F.col("id").alias("n"), F.repeat(F.lit("x"), F.when(F.col("id") < 50, 10).otherwise(5000)).alias("text"),
+        F.lit("2024-03-12").cast("date").alias("date"),
+    )
+    src.write_landing_lines(docs, str(tmp_path / "lines"), 1000)
+    assert spark.read.schema("n long, text string").json(str(tmp_path / "lines")).count() == 60
+    (files,) = _landed_files(tmp_path / "lines").values()
+    assert all(sum(lines) < 1000 + max(lines) for lines in files.values())
+    assert sum(max(lines) > 5000 for lines in files.values()) == 10  # no two of them in a file
+
+
+def test_running_totals_over_all_groups(spark):
+    from stopwise.functions import running_total
+
+    rows = [("hot" if i % 3 else None, i, i % 7) for i in range(3000)] + [("cold", 5000, 1)]
+    df = spark.createDataFrame(rows, "g string, i int, v int").repartition(5)
+    got = {(r["g"], r["i"]): (r["t"], r["o"]) for r in running_total(df, "t", "v", ["g", "i"], ["g"], "o").collect()}
+    overall = 0
+    for group in ("cold", "hot", None):
+        total = 0
+        for g, i, v in sorted((r for r in rows if r[0] == group), key=lambda r: r[1]):
+            assert got[(g, i)] == (total, overall)
+            total, overall = total + v, overall + v
+
+
 def test_distributions_are_read_from_stored_counts(spark, tmp_path, landed):
     from dataclasses import replace
 
